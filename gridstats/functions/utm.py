@@ -176,51 +176,6 @@ def utm_zone_point(lon: float, lat: float) -> tuple[int, bool]:
     return zone, lat < 0
 
 
-def _bound(steps: list[_Step], inputs: dict[str, Column], outputs: tuple[str, str]) -> Column:
-    """The steps as one column: ``struct`` of the two ``outputs``."""
-    names = list(inputs)
-    value = F.struct(*[e.alias(k) for k, e in inputs.items()])
-
-    def after(step: _Step, known: list[str], last: bool) -> Callable[[Column], Column]:
-        def body(s: Column) -> Column:
-            fresh = step(F, {k: s[k] for k in known})
-            fields = {k: fresh[k] for k in outputs} if last else {k: s[k] for k in known} | fresh
-            return F.struct(*[e.alias(k) for k, e in fields.items()])
-
-        return body
-
-    for number, step in enumerate(steps, start=1):
-        known = names
-        fresh = list(step(_Names, dict.fromkeys(known, _Name())))
-        value = F.transform(F.array(value), after(step, known, number == len(steps)))[0]
-        names = known + fresh
-    return value
-
-
-class _Name:
-    """Stands for any value while only the names a step adds are wanted."""
-
-    def _same(self, *_: Any) -> _Name:
-        return self
-
-    __add__ = __radd__ = __sub__ = __rsub__ = __mul__ = __rmul__ = __truediv__ = __rtruediv__ = _same
-
-
-class _AnyFunction(type):
-    def __getattr__(cls, _: str) -> Callable[..., _Name]:
-        return lambda *_: _Name()
-
-
-class _Names(metaclass=_AnyFunction):
-    pass
-
-
-def _on_frame(df: DataFrame, steps: list[_Step], inputs: dict[str, Column], outputs: dict[str, str]) -> DataFrame:
-    keep = [F.col(f"`{c}`") for c in df.columns if c not in outputs.values()]
-    bound = df.withColumn("_utm", _bound(steps, inputs, tuple(outputs)))
-    return bound.select(*keep, *[F.col(f"_utm.{k}").alias(c) for k, c in outputs.items()])
-
-
 def _frame_of(zone: Column | int, south: Column | bool) -> dict[str, Column]:
     zone = F.lit(zone) if isinstance(zone, int) else zone
     south = F.lit(south) if isinstance(south, bool) else south
