@@ -26,6 +26,11 @@ _PAIR = rf"({_NUMBER})\s+({_NUMBER})"
 # ---------------------------------------------------------------- arrow batches
 
 
+def _doubles(*names: str, **others: T.DataType) -> T.StructType:
+    fields = dict.fromkeys(names, T.DoubleType()) | others
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
 def _point_matrix(values: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(x, y, valid) of one batch of WKB values; anything but a finite point is invalid."""
     n = len(values)
@@ -58,7 +63,7 @@ def _point_matrix(values: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return x, y, valid
 
 
-@F.arrow_udf("struct<lon double, lat double>")
+@F.arrow_udf(_doubles("lon", "lat"))
 def _decode(values: pa.Array) -> pa.Array:
     x, y, valid = _point_matrix(values)
     return pa.StructArray.from_arrays(
@@ -66,7 +71,7 @@ def _decode(values: pa.Array) -> pa.Array:
     )
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def _encode(lon: pa.Array, lat: pa.Array) -> pa.Array:
     n = len(lon)
     missing = ~(lon.is_valid().to_numpy(zero_copy_only=False) & lat.is_valid().to_numpy(zero_copy_only=False))
@@ -121,10 +126,7 @@ def _walk(buffer: bytes, at: int, box: list[float]) -> int:
     return at
 
 
-_BOUNDS = "struct<kind string, minx double, miny double, maxx double, maxy double>"
-
-
-@F.arrow_udf(_BOUNDS)
+@F.arrow_udf(_doubles("minx", "miny", "maxx", "maxy", kind=T.StringType()))
 def _wkb_bounds(values: pa.Array) -> pa.Array:
     x, y, valid = _point_matrix(values)
     kind = np.where(valid, "Point", None).astype(object)
@@ -141,8 +143,8 @@ def _wkb_bounds(values: pa.Array) -> pa.Array:
             box[i] = found
         except (KeyError, IndexError, ValueError, struct.error):
             continue
-    columns = [pa.array(kind, pa.string())] + [pa.array(box[:, k], from_pandas=True) for k in range(4)]
-    return pa.StructArray.from_arrays(columns, ["kind", "minx", "miny", "maxx", "maxy"])
+    columns = [pa.array(box[:, k], from_pandas=True) for k in range(4)] + [pa.array(kind, pa.string())]
+    return pa.StructArray.from_arrays(columns, ["minx", "miny", "maxx", "maxy", "kind"])
 
 
 # ---------------------------------------------------------------- native columns
@@ -229,7 +231,7 @@ def geometry_encoding(df: DataFrame, geometry: str = "geometry") -> str:
 
 
 def geometry_bounds(df: DataFrame, geometry: str = "geometry", into: str = "bounds") -> DataFrame:
-    """Add ``struct<kind, minx, miny, maxx, maxy>``; all fields NULL for a broken geometry."""
+    """Add ``struct<minx, miny, maxx, maxy, kind>``; all fields NULL for a broken geometry."""
     column = F.col(geometry)
     if geometry_encoding(df, geometry) == "WKB":
         return df.withColumn(into, _wkb_bounds(column))

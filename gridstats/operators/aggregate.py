@@ -19,7 +19,7 @@ from gridstats.functions.geo import angle_deg, dispersion, projection_factor, si
 from gridstats.functions.wkb import decode_points, point_wkb
 from gridstats.operators.link import pair_points
 from gridstats.operators.medians import median_column, split_medians
-from gridstats.plans.sizing import broadcast_if_small, fits_broadcast
+from gridstats.plans.sizing import fits_broadcast, spill
 from gridstats.plans.skew import HOT_ROWS, hot_keys, skew_join, split_hot
 
 STATISTICS = ("mean", "median", "stddev", "min", "max", "n", "mad")
@@ -72,7 +72,11 @@ def _in_windows(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], me
 
 
 def _in_pieces(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], median: str) -> DataFrame:
-    """The same for a bounded number of hot groups, by map-side-combined aggregates only."""
+    """The same for a bounded number of hot groups, by map-side-combined aggregates only.
+
+    The rows of these groups are written once, because several passes read them.
+    """
+    rows = spill(rows.select(*_quoted(keys), *_quoted(columns)))
     moments = rows.groupBy(*_quoted(keys)).agg(F.count("*").alias("n"), *[m for c in columns for m in _moments(c)])
     if not columns:
         return _layout(moments, keys, columns)
@@ -148,7 +152,7 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
 
 
 def _nodes(grid: DataFrame) -> DataFrame:
-    """Distinct (node_id, geometry) with decoded coordinates; nodes without a geometry drop out."""
+    """Distinct nodes with their geometry, and coordinates where the grid has them; none without geometry."""
     if "geometry" not in grid.columns:
         plain = grid.select("node_id", "lon", "lat").where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
         return plain.distinct().withColumn("geometry", point_wkb("lon", "lat"))
@@ -170,13 +174,16 @@ def _rows(
     shape: _Shape,
     radius_km: float,
     hot_rows: int | None,
+    small_grid: bool,
 ) -> DataFrame:
     """One row per (point, node) with keys and ``carried`` columns; rows with a NULL key drop out."""
     wanted = list(dict.fromkeys([*shape.keys, *carried]))
     require_columns(points, [c for c in wanted if c not in ("lon", "lat")])
     points = _present(points, shape.keys)
     if links is None:
-        pairs = pair_points(points, grid, radius_km, keep=wanted, hot_rows=hot_rows or HOT_ROWS)
+        pairs = pair_points(
+            points, grid, radius_km, keep=wanted, hot_rows=hot_rows or HOT_ROWS, broadcast_grid=small_grid
+        )
         return pairs.select(*_quoted(wanted), "node_id")
     if "lon" in wanted or "lat" in wanted:
         points = decode_points(points)
@@ -190,10 +197,16 @@ def _rows_bound(points: DataFrame, hot_rows: int | None) -> int | None:
 
 
 def _finish(
-    stats: DataFrame, nodes: DataFrame, shape: _Shape, on: Sequence[str], body: Sequence[str], parts_first: bool
+    stats: DataFrame,
+    nodes: DataFrame,
+    shape: _Shape,
+    on: Sequence[str],
+    body: Sequence[str],
+    parts_first: bool,
+    small_grid: bool,
 ) -> DataFrame:
     """Attach the node geometry to finished groups and order the columns."""
-    joined = stats.join(broadcast_if_small(nodes), list(on))
+    joined = stats.join(F.broadcast(nodes) if small_grid else nodes, list(on))
     parts = list(shape.partition_by)
     tail = [*parts, *body] if parts_first else [*body, *parts]
     return joined.select(*_quoted(shape.leading), "node_id", "geometry", "n", *_quoted(tail))
@@ -218,10 +231,11 @@ def aggregate_grid(
     """
     columns = _names(columns)
     shape = _shape(points, time, partition_by)
-    rows = _rows(points, links, grid, columns, shape, radius_km, hot_rows)
+    small = fits_broadcast(grid)
+    rows = _rows(points, links, grid, columns, shape, radius_km, hot_rows, small)
     stats = group_stats(rows, [*shape.keys, "node_id"], columns, median, hot_rows, _rows_bound(points, hot_rows))
     nodes = _nodes(grid).select("node_id", "geometry")
-    return _finish(stats, nodes, shape, ["node_id"], [s for c in columns for s in stat_names(c)], parts_first=False)
+    return _finish(stats, nodes, shape, ["node_id"], [s for c in columns for s in stat_names(c)], parts_first=False, small_grid=small)
 
 
 # ---------------------------------------------------------------- angles
@@ -304,10 +318,11 @@ def aggregate_direction(
         return aggregate_grid(points, links, grid, columns, time, partition_by, median, radius_km, hot_rows)
     scalars = [c for c in _names(columns) if c not in {a.name for a in angles}]
     shape = _shape(points, time, partition_by)
+    small = fits_broadcast(grid)
     weights = [a.magnitude for a in angles if a.magnitude]
     carried = list(dict.fromkeys([*scalars, *weights, *[a.name for a in angles]]))
     # components are made after the pairing, so two doubles less per angle pass through the join
-    rows = with_components(_rows(points, links, grid, carried, shape, radius_km, hot_rows), angles)
+    rows = with_components(_rows(points, links, grid, carried, shape, radius_km, hot_rows, small), angles)
     measured = list(dict.fromkeys([*scalars, *weights, *[c for a in angles for c in (a.sin, a.cos)]]))
     keys = [*shape.keys, "node_id"]
     rows = rows.select(*_quoted(keys), *_quoted(measured))
@@ -316,7 +331,7 @@ def aggregate_direction(
     final = stats.select(*_quoted(keys), "n", *_quoted(body), *[s for a in angles for s in _angle_stats(a)])
     body += [f"{a.name}_{s}" for a in angles for s in ("mean", "median", "stddev", "mad", "n")]
     nodes = _nodes(grid).select("node_id", "geometry")
-    return _finish(final, nodes, shape, ["node_id"], body, parts_first=True)
+    return _finish(final, nodes, shape, ["node_id"], body, parts_first=True, small_grid=small)
 
 
 # ---------------------------------------------------------------- projection
@@ -345,12 +360,13 @@ def aggregate_projection(
     if projection_col not in columns:
         raise ValueError("the projected column must be one of the columns")
     shape = _shape(points, time, partition_by)
-    rows = _rows(points, links, grid, [*columns, "lon", "lat"], shape, radius_km, hot_rows)
+    small = fits_broadcast(grid)
+    rows = _rows(points, links, grid, [*columns, "lon", "lat"], shape, radius_km, hot_rows, small)
     nodes = decode_points(_nodes(grid)).select(
         "node_id", "geometry", F.col("lon").alias("_node_lon"), F.col("lat").alias("_node_lat")
     )
     places = nodes.drop("geometry")
-    if fits_broadcast(places):
+    if small:
         rows = rows.join(F.broadcast(places), "node_id")
     else:
         rows = skew_join(rows, places, ["node_id"], ["lon", "lat"], hot_rows or HOT_ROWS)
@@ -362,4 +378,4 @@ def aggregate_projection(
     rows = rows.select(*_quoted(keys), *[value if c == projection_col else F.col(f"`{c}`") for c in columns])
     stats = group_stats(rows, keys, columns, median, hot_rows, _rows_bound(points, hot_rows))
     body = [s for c in columns for s in stat_names(c)]
-    return _finish(stats, nodes, shape, ["node_id", "_node_lon", "_node_lat"], body, parts_first=False)
+    return _finish(stats, nodes, shape, ["node_id", "_node_lon", "_node_lat"], body, parts_first=False, small_grid=small)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import operator
 from collections.abc import Iterator, Sequence
+from fractions import Fraction
 from functools import reduce
 
 import numpy as np
@@ -32,24 +33,30 @@ _HELD = 1_000_000
 _SPREAD = 16
 
 
+def _turns_left(ax: float, ay: float, bx: float, by: float, x: float, y: float) -> bool:
+    """Whether a→b→(x, y) turns left; in exact arithmetic where rounding could decide."""
+    left, right = (bx - ax) * (y - ay), (by - ay) * (x - ax)
+    if abs(left - right) > 1e-15 * (abs(left) + abs(right)):
+        return left > right
+    ax, ay, bx, by, x, y = map(Fraction, (ax, ay, bx, by, x, y))
+    return (bx - ax) * (y - ay) > (by - ay) * (x - ax)
+
+
 def hull_vertices(xy: np.ndarray) -> np.ndarray:
     """Hull vertices counter-clockwise from the lowest x (Andrew's monotone chain); no collinear ones."""
     points = np.unique(xy, axis=0)
     if len(points) < 3:
         return points
 
-    def chain(ordered: np.ndarray) -> list[tuple[float, float]]:
+    def chain(ordered: list) -> list[tuple[float, float]]:
         kept: list[tuple[float, float]] = []
         for x, y in ordered:
-            while len(kept) > 1:
-                (ax, ay), (bx, by) = kept[-2], kept[-1]
-                if (bx - ax) * (y - ay) - (by - ay) * (x - ax) > 0:
-                    break
+            while len(kept) > 1 and not _turns_left(*kept[-2], *kept[-1], x, y):
                 kept.pop()
             kept.append((x, y))
         return kept
 
-    lower, upper = chain(points), chain(points[::-1])
+    lower, upper = chain(points.tolist()), chain(points[::-1].tolist())
     return np.array(lower[:-1] + upper[:-1])
 
 
@@ -89,7 +96,7 @@ def _outside_octagon(points: DataFrame, by: list[str]) -> DataFrame:
         for axis, value in (("x", lon), ("y", lat))
     ]
     octagons = points.groupBy(*[F.col(f"`{c}`") for c in by]).agg(*corners)
-    found = octagons.limit(_MAX_OCTAGONS + 1).collect()
+    found = octagons.limit(_MAX_OCTAGONS + 1).coalesce(1).collect()
     if not found or len(found) > _MAX_OCTAGONS:
         return points
     listed = points.sparkSession.createDataFrame(found, octagons.schema)
@@ -138,28 +145,36 @@ def convex_hull(points: DataFrame, by: Sequence[str] = (), geometry: str = "geom
     return hulls if by else hulls.select("rings")
 
 
-def _clip_convex(subject: np.ndarray, clip: np.ndarray) -> np.ndarray:
-    """Part of a convex vertex list inside a convex counter-clockwise one (Sutherland-Hodgman)."""
-    for i in range(len(clip)):
-        a, b = clip[i], clip[(i + 1) % len(clip)]
-        if len(clip) == 1:
-            return subject[:0] if not len(subject) else _on_point(subject, a)
-        side = (b[0] - a[0]) * (subject[:, 1] - a[1]) - (b[1] - a[1]) * (subject[:, 0] - a[0])
-        kept = []
-        for j in range(len(subject)):
-            p, q, sp, sq = subject[j], subject[(j + 1) % len(subject)], side[j], side[(j + 1) % len(subject)]
-            if sp >= 0:
-                kept.append(p)
-            if sp * sq < 0:
-                kept.append(p + (q - p) * (sp / (sp - sq)))
-        subject = np.array(kept).reshape(-1, 2)
-        if not len(subject):
-            return subject
-    return hull_vertices(subject)
-
-
-def _on_point(shape: np.ndarray, point: np.ndarray) -> np.ndarray:
-    return point[None, :] if len(_clip_convex(point[None, :], shape)) and len(shape) > 1 or (shape == point).all() else shape[:0]
+def _side(a: np.ndarray, b: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Cross products of every line a[i]→b[i] (rows) with every point (columns)."""
+    run = b - a
+    return run[:, :1] * (p[:, 1] - a[:, 1:]) - run[:, 1:] * (p[:, 0] - a[:, :1])
+
+
+def _edges(shape: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return shape, np.roll(shape, -1, axis=0)
+
+
+def _inside(p: np.ndarray, shape: np.ndarray) -> np.ndarray:
+    """Which points a convex shape (point, segment or counter-clockwise polygon) covers."""
+    boxed = ((p >= shape.min(axis=0)) & (p <= shape.max(axis=0))).all(axis=1)
+    return boxed & (_side(*_edges(shape), p) >= 0).all(axis=0)
+
+
+def _clip_convex(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Common part of two convex shapes: the hull of vertices inside the other shape and of edge crossings.
+
+    Vertices are taken over unchanged, so a position on the border stays on the border.
+    """
+    if not len(one) or not len(other):
+        return one[:0]
+    (a, b), (c, d) = _edges(one), _edges(other)
+    ac, bd = _side(c, d, a), _side(c, d, b)
+    ca, db = _side(a, b, c).T, _side(a, b, d).T
+    j, i = np.nonzero((ac * bd < 0) & (ca * db < 0))
+    share = (ac[j, i] / (ac[j, i] - bd[j, i]))[:, None]
+    crossings = a[i] + (b[i] - a[i]) * share
+    return hull_vertices(np.vstack([one[_inside(one, other)], other[_inside(other, one)], crossings]))
 
 
 def _intersect(rings: Sequence) -> np.ndarray:

@@ -5,7 +5,7 @@ node is repeated into the few cells its window can meet, and the two sides join
 window and the exact distance stay as filters after the join, so the cells never change the result, and
 since a point has one cell and a node's cells are distinct, no pair appears twice.
 
-Band ``by`` is one latitude window high. The cell width ``w(by)`` is at least the longitude window of any
+Band ``by`` is one latitude window high. The cell width ``w(by)`` in it is at least the longitude window of any
 point in the band and depends on ``by`` alone, so both sides compute the same number.
 """
 
@@ -56,6 +56,11 @@ def _column_of(lon: Column, width: Column) -> Column:
     return _sure(F.when(width >= 360.0, F.lit(0).cast("long")).otherwise(F.floor((lon + 180.0) / width)))
 
 
+def _cell_key(band: Column, column: Column) -> Column:
+    """Band and column in one number: a single long key takes Spark's fast hash map."""
+    return _sure(band * F.lit(2**32) + column)
+
+
 def _trig(lat: str, prefix: str) -> list[Column]:
     phi = F.radians(F.col(lat))
     return [_sure(F.sin(phi)).alias(f"{prefix}_sin"), _sure(F.cos(phi)).alias(f"{prefix}_cos")]
@@ -78,7 +83,8 @@ def _node_cells(nodes: DataFrame, height: float, radius_km: float, strict_window
     if not strict_window:  # the distance alone decides, so neighbours across 180° count
         cells = F.array_distinct(F.concat(cells, reach(lon - 360.0), reach(lon + 360.0)))
     whole = F.array(F.lit(0).cast("long"))
-    return bands.withColumn("_bx", F.explode(F.when(w >= 360.0, whole).otherwise(cells))).drop("_w")
+    columns = bands.withColumn("_bx", F.explode(F.when(w >= 360.0, whole).otherwise(cells)))
+    return columns.withColumn("_cell", _cell_key(F.col("_by"), F.col("_bx"))).drop("_w", "_by", "_bx")
 
 
 def _valid(df: DataFrame, lon: str, lat: str) -> DataFrame:
@@ -109,7 +115,8 @@ def pair_points(
     left = _valid(decode_points(points), "lon", "lat")
     carried = [F.col(f"`{c}`") for c in dict.fromkeys([*keep, "lon", "lat"])]
     left = left.select(*carried, _band(F.col("lat"), height).alias("_by"), *(_trig("lat", "_p") if within_radius else []))
-    left = left.withColumn("_bx", _column_of(F.col("lon"), _cell_width(F.col("_by"), height, radius_km, strict_window)))
+    column = _column_of(F.col("lon"), _cell_width(F.col("_by"), height, radius_km, strict_window))
+    left = left.withColumn("_cell", _cell_key(F.col("_by"), column)).drop("_by")
 
     nodes = decode_points(grid)
     nodes = nodes.select("node_id", F.col("lon").alias("node_lon"), F.col("lat").alias("node_lat"))
@@ -119,9 +126,9 @@ def pair_points(
         nodes = nodes.select("*", *_trig("node_lat", "_g"))
     cells = _node_cells(nodes, height, radius_km, strict_window)
     if small:
-        pairs = left.join(F.broadcast(cells), ["_by", "_bx"])
+        pairs = left.join(F.broadcast(cells), "_cell")
     else:
-        pairs = skew_join(left, cells, ["_by", "_bx"], salt_by, hot_rows)
+        pairs = skew_join(left, cells, ["_cell"], salt_by, hot_rows)
 
     lon, lat, node_lon, node_lat = (F.col(c) for c in ("lon", "lat", "node_lon", "node_lat"))
     if strict_window:

@@ -8,6 +8,7 @@ Three map-side-combined counts per call, whatever the size of the largest group:
 3. only rows of those buckets are counted by value, and the middle values are read off.
 
 The sketch merely places the bucket borders; the counts are exact, so the result does not depend on it.
+What each step passes on is at most a few rows per hot group, so it is computed once and broadcast.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridstats.constants import APPROX_ACCURACY
-from gridstats.plans.skew import running_total
+from gridstats.plans.sizing import pin
+from gridstats.plans.skew import MAX_HOT_KEYS, running_total
 
 BUCKETS = 1024
 _MARGIN = 0.001
@@ -43,12 +45,11 @@ def _bucket(x: Column, low: Column, high: Column) -> Column:
 
 def split_medians(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], median: str) -> DataFrame:
     """``keys`` + one median per column, for a bounded number of arbitrarily large groups."""
-    names = [f"`{k}`" for k in keys]
-    group = [F.col(k) for k in names]
+    group = [F.col(f"`{k}`") for k in keys]
     if median == "approx":
-        return rows.groupBy(*group).agg(*[median_column(c, median).alias(c) for c in columns])
+        return pin(rows.groupBy(*group).agg(*[median_column(c, median).alias(c) for c in columns]), MAX_HOT_KEYS)
 
-    sketch = rows.groupBy(*group).agg(
+    sketches = rows.groupBy(*group).agg(
         F.array(*[
             F.struct(
                 F.percentile_approx(F.col(f"`{c}`"), F.array(F.lit(0.5 - _MARGIN), F.lit(0.5 + _MARGIN)), APPROX_ACCURACY)
@@ -58,6 +59,7 @@ def split_medians(rows: DataFrame, keys: Sequence[str], columns: Sequence[str],
             for c in columns
         ]).alias("_sketch")
     )
+    sketch = pin(sketches, MAX_HOT_KEYS)
     values = F.array(*[F.col(f"`{c}`").cast("double") for c in columns])
     long = (
         rows.withColumn("_values", values)
@@ -76,7 +78,7 @@ def split_medians(rows: DataFrame, keys: Sequence[str], columns: Sequence[str],
 
     cell = [*keys, "_c"]
     end = running_total(F.col("_rows"), cell, ["_b"])
-    picked = (
+    buckets = (
         long.groupBy(*group, "_c", "_b")
         .agg(F.count("*").alias("_rows"), F.first("_size").alias("_size"))
         .withColumns({"_low": ranks[0], "_high": ranks[1], "_end": end})
@@ -84,6 +86,7 @@ def split_medians(rows: DataFrame, keys: Sequence[str], columns: Sequence[str],
         .where((F.col("_end") > F.col("_low")) & (F.col("_start") <= F.col("_high")))
         .select(*group, "_c", "_b", "_start", "_low", "_high")
     )
+    picked = pin(buckets, 2 * len(columns) * MAX_HOT_KEYS)
     bucket = [*cell, "_b"]
     upto = F.col("_start") + running_total(F.col("_rows"), bucket, ["_x"])
 
@@ -104,4 +107,4 @@ def split_medians(rows: DataFrame, keys: Sequence[str], columns: Sequence[str],
     wide = middles.groupBy(*group).agg(
         *[F.max(F.when(F.col("_c") == i, halves)).alias(c) for i, c in enumerate(columns)]
     )
-    return wide
+    return pin(wide, MAX_HOT_KEYS)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,12 +44,25 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return current
 
 
+def spill(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
+
+    For rows that several passes need: they then scan only their columns instead of repeating the joins, and
+    a lost executor costs a re-read.
+    """
+    spark = df.sparkSession
+    folder = f"{checkpoint_folder(spark).rstrip('/')}/gridstats-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def pin(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     """Compute ``df`` once, now. A provably short result becomes a local relation, a longer one a checkpoint.
 
     Meant for footprints and other results that are tiny next to the points they come from.
     """
-    rows = df.limit(max_rows + 1).collect()
+    # the limit is not the last step, so all tasks run in one job, each stopping at the limit
+    rows = df.limit(max_rows + 1).coalesce(1).collect()
     if len(rows) <= max_rows:
         return df.sparkSession.createDataFrame(rows, df.schema)
     checkpoint_folder(df.sparkSession)
