@@ -182,6 +182,10 @@ def _intersect(rings: Sequence) -> np.ndarray:
     return reduce(lambda kept, s: _clip_convex(kept, s) if len(kept) else kept, shapes[1:], hull_vertices(shapes[0]))
 
 
+def _frame(shapes: list) -> pd.DataFrame:
+    return pd.DataFrame({"rings": pd.Series(shapes, dtype=object)})
+
+
 def _fold_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     shapes: list = []
     for batch in batches:
@@ -191,7 +195,7 @@ def _fold_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if shapes[0] is None:
             break
     if shapes:
-        yield pd.DataFrame({"rings": shapes})
+        yield _frame(shapes)
 
 
 def combine_hulls(hulls: DataFrame, operation: str = "union") -> DataFrame:
@@ -207,9 +211,9 @@ def combine_hulls(hulls: DataFrame, operation: str = "union") -> DataFrame:
 
     def fold(part: pd.DataFrame) -> pd.DataFrame:
         if part["rings"].isna().any():
-            return part.iloc[:0]
+            return _frame([])
         kept = _intersect(sorted(part["rings"], key=lambda r: [(p["x"], p["y"]) for p in r[0]]))
-        return pd.DataFrame({"rings": [_ring(kept)] if len(kept) else []})
+        return _frame([_ring(kept)] if len(kept) else [])
 
     schema = f"rings {RINGS}"
     per_task = parts.mapInPandas(_fold_task, schema)
