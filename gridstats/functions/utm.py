@@ -24,6 +24,7 @@ from gridstats.constants import (
     WGS84_A,
     WGS84_INVERSE_F,
 )
+from gridstats.functions.binding import let
 
 _F = 1.0 / WGS84_INVERSE_F
 _N = _F / (2.0 - _F)
@@ -136,24 +137,49 @@ _INVERSE: list[_Step] = [
 ]
 
 
+class _Seen(dict):
+    """Values that note which names are read."""
+
+    def __init__(self, names: list[str]) -> None:
+        super().__init__(dict.fromkeys(names, 0.1))
+        self.read: set[str] = set()
+
+    def __getitem__(self, name: str) -> float:
+        self.read.add(name)
+        return super().__getitem__(name)
+
+
+def _reads(steps: list[_Step], inputs: list[str]) -> list[set[str]]:
+    """The names each step reads."""
+    reads, known = [], list(inputs)
+    for names, values in steps:
+        seen = _Seen(known)
+        values(math, seen)
+        reads.append(seen.read)
+        known += names
+    return reads
+
+
 def _bound(steps: list[_Step], inputs: dict[str, Column]) -> Column:
     """The steps as one column: a struct of the values of the last step."""
+    reads = _reads(steps, list(inputs))
 
-    def after(step: _Step, known: list[str], last: bool) -> Callable[[Column], Column]:
-        names, values = step
+    def after(number: int, known: list[str]) -> tuple[list[str], Callable[[Column], Column]]:
+        names, values = steps[number]
+        later = set().union(*reads[number + 1 :])
+        kept = [k for k in known if k in later]
 
         def body(s: Column) -> Column:
-            seen = {k: s[k] for k in known}
-            fresh = dict(zip(names, values(F, seen)))
-            return F.struct(*[e.alias(k) for k, e in (fresh if last else seen | fresh).items()])
+            fresh = dict(zip(names, values(F, {k: s[k] for k in reads[number]})))
+            return F.struct(*[s[k].alias(k) for k in kept], *[e.alias(k) for k, e in fresh.items()])
 
-        return body
+        return [*kept, *names], body
 
-    names = list(inputs)
+    known = list(inputs)
     value = F.struct(*[e.alias(k) for k, e in inputs.items()])
-    for number, step in enumerate(steps, start=1):
-        value = F.transform(F.array(value), after(step, names, number == len(steps)))[0]
-        names = [*names, *step[0]]
+    for number in range(len(steps)):
+        known, body = after(number, known)
+        value = let(value, body)
     return value
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridstats.constants import GEOMETRY_NAMES
+from gridstats.functions.binding import let
 
 _POINT_BYTES = 21
 _SRID_FLAG = 0x20000000
@@ -150,29 +151,33 @@ def _wkb_bounds(values: pa.Array) -> pa.Array:
 # ---------------------------------------------------------------- native columns
 
 
-def _reversed_hex(digits: Column) -> Column:
-    return F.concat(*[F.substring(digits, 15 - 2 * k, 2) for k in range(8)])
-
-
 def _double_from_hex(digits: Column) -> Column:
     """IEEE double from 16 big-endian hex digits; NaN and infinities give NULL."""
-    top = F.conv(F.substring(digits, 1, 3), 16, 10).cast("int")
-    sign = F.when(top >= 2048, F.lit(-1.0)).otherwise(F.lit(1.0))
-    exponent = F.when(top >= 2048, top - 2048).otherwise(top)
-    fraction = F.conv(F.substring(digits, 4, 13), 16, 10).cast("long") / F.lit(float(2**52))
-    normal = (1.0 + fraction) * F.pow(F.lit(2.0), exponent - 1023)
-    tiny = fraction * F.lit(2.0**-1022)
-    return F.when(exponent == 2047, None).when(exponent == 0, sign * tiny).otherwise(sign * normal)
+    halves = F.struct(
+        F.conv(F.substring(digits, 1, 3), 16, 10).cast("int").alias("top"),
+        (F.conv(F.substring(digits, 4, 13), 16, 10).cast("long") / F.lit(float(2**52))).alias("fraction"),
+    )
+
+    def assemble(h: Column) -> Column:
+        sign = F.when(h["top"] >= 2048, F.lit(-1.0)).otherwise(F.lit(1.0))
+        exponent = h["top"].bitwiseAND(2047)
+        normal = sign * (1.0 + h["fraction"]) * F.pow(F.lit(2.0), exponent - 1023)
+        tiny = sign * (h["fraction"] * F.lit(2.0**-1022))
+        return F.when(exponent == 2047, None).when(exponent == 0, tiny).otherwise(normal)
+
+    return let(halves, assemble)
 
 
 def _coordinate(geometry: Column, first_byte: int) -> Column:
-    digits = F.hex(geometry)
-    raw = F.substring(digits, 2 * first_byte + 1, 16)
-    little = F.substring(digits, 1, 2) == "01"
-    code = F.substring(digits, 3, 8)
-    point = F.when(little, F.substring(code, 1, 4) == "0100").otherwise(F.substring(code, 5, 4) == "0001")
-    ordered = F.when(little, _reversed_hex(raw)).otherwise(raw)
-    return F.when((F.octet_length(geometry) >= _POINT_BYTES) & point, _double_from_hex(ordered))
+    def read(digits: Column) -> Column:
+        little = F.substring(digits, 1, 2) == "01"
+        point = F.when(little, F.substring(digits, 3, 4) == "0100").otherwise(F.substring(digits, 7, 4) == "0001")
+        start = 2 * first_byte + 1
+        swapped = F.concat(*[F.substring(digits, start + 14 - 2 * k, 2) for k in range(8)])
+        value = let(F.when(little, swapped).otherwise(F.substring(digits, start, 16)), _double_from_hex)
+        return F.when((F.length(digits) >= 2 * _POINT_BYTES) & point, value)
+
+    return let(F.hex(geometry), read)
 
 
 def wkb_x(geometry: Column | str) -> Column:

@@ -191,9 +191,19 @@ def _rows(
     return left.join(links.select("rowid", "node_id"), "rowid").select(*_quoted(wanted), "node_id")
 
 
-def _rows_bound(points: DataFrame, hot_rows: int | None) -> int | None:
-    """A point meets a node at most once, so no group is larger than the point table."""
-    return None if hot_rows is None else points.count()
+def _rows_bound(points: DataFrame, keys: Sequence[str], hot_rows: int | None) -> int | None:
+    """Upper bound of the rows of any group, from the points alone.
+
+    A point meets a node at most once, so no group is larger than the points that share its time and
+    partition values. Usually that settles that no group is hot, without pairing or shuffling anything.
+    """
+    if hot_rows is None:
+        return None
+    total = points.count()
+    if total <= hot_rows:
+        return total
+    sizes = _present(points, keys).groupBy(*_quoted(keys)).agg(F.count("*").alias("_rows"))
+    return sizes.agg(F.max("_rows")).first()[0] or 0
 
 
 def _finish(
@@ -233,7 +243,8 @@ def aggregate_grid(
     shape = _shape(points, time, partition_by)
     small = fits_broadcast(grid)
     rows = _rows(points, links, grid, columns, shape, radius_km, hot_rows, small)
-    stats = group_stats(rows, [*shape.keys, "node_id"], columns, median, hot_rows, _rows_bound(points, hot_rows))
+    bound = _rows_bound(points, shape.keys, hot_rows)
+    stats = group_stats(rows, [*shape.keys, "node_id"], columns, median, hot_rows, bound)
     nodes = _nodes(grid).select("node_id", "geometry")
     return _finish(stats, nodes, shape, ["node_id"], [s for c in columns for s in stat_names(c)], parts_first=False, small_grid=small)
 
@@ -326,7 +337,8 @@ def aggregate_direction(
     measured = list(dict.fromkeys([*scalars, *weights, *[c for a in angles for c in (a.sin, a.cos)]]))
     keys = [*shape.keys, "node_id"]
     rows = rows.select(*_quoted(keys), *_quoted(measured))
-    stats = group_stats(rows, keys, measured, median, hot_rows, _rows_bound(points, hot_rows))
+    bound = _rows_bound(points, shape.keys, hot_rows)
+    stats = group_stats(rows, keys, measured, median, hot_rows, bound)
     body = [s for c in scalars for s in stat_names(c)]
     final = stats.select(*_quoted(keys), "n", *_quoted(body), *[s for a in angles for s in _angle_stats(a)])
     body += [f"{a.name}_{s}" for a in angles for s in ("mean", "median", "stddev", "mad", "n")]
@@ -376,6 +388,7 @@ def aggregate_projection(
     value = (F.col(f"`{projection_col}`") * factor).alias(projection_col)
     keys = [*shape.keys, "node_id", "_node_lon", "_node_lat"]
     rows = rows.select(*_quoted(keys), *[value if c == projection_col else F.col(f"`{c}`") for c in columns])
-    stats = group_stats(rows, keys, columns, median, hot_rows, _rows_bound(points, hot_rows))
+    bound = _rows_bound(points, shape.keys, hot_rows)
+    stats = group_stats(rows, keys, columns, median, hot_rows, bound)
     body = [s for c in columns for s in stat_names(c)]
     return _finish(stats, nodes, shape, ["node_id", "_node_lon", "_node_lat"], body, parts_first=False, small_grid=small)

@@ -13,8 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of one key above which the key is split. One task sorts that many rows in seconds.
-HOT_ROWS = 1_000_000
+# Rows of one key above which the key is split. A task holds the distinct values of one key in memory for an
+# exact median, so this also bounds its memory (some tens of megabytes per column).
+HOT_ROWS = 200_000
 # At most this many keys are treated as hot (the largest ones).
 MAX_HOT_KEYS = 100_000
 

@@ -16,7 +16,7 @@ POINTS = """points AS (
   SELECT e.event_id AS id, e.ts AS ts, strftime(e.ts, '%Y-%m-%d') AS day, e.event_type AS station,
          -9.5::double + ((e.event_id * 7919) % 10007) / 10007.0::double AS lon,
          42.0::double + ((e.event_id * 104729) % 10009) / 10009.0::double AS lat,
-         e.value AS speed,
+         e.value * 1.00001234567891::double + 0.0137::double AS speed,
          ((e.event_id * 37) % 360) + ((e.event_id * 7) % 997) / 997.0::double * 0.9::double + 0.05::double AS dir,
          CASE WHEN e.event_id % 17 <> 0 THEN e.value * 2 - 5 END AS temp
   FROM events e)"""
