@@ -13,10 +13,21 @@ _ISO_FORMS = (
     "yyyy-M-d",
 )
 
+_DAY_MICROS = 86_400_000_000
+
 PARTITION_SEGMENT = r"^[^=]+=.+$"
 _NOT_ID = r"[^A-Za-z0-9_\-]+"
 
 
+def _utc_clock(instant: Column) -> Column:
+    """UTC wall clock of an instant, counted from the epoch: no session zone and no clock changes involved."""
+    micros = F.unix_micros(instant)
+    rest = F.pmod(micros, F.lit(_DAY_MICROS))
+    midnight = F.date_add(F.lit("1970-01-01").cast("date"), ((micros - rest) / _DAY_MICROS).cast("int"))
+    none = F.lit(0)
+    return midnight.cast("timestamp_ntz") + F.make_dt_interval(none, none, none, (rest / 1e6).cast("decimal(18,6)"))
+
+
 def utc_time(column: Column, kind: T.DataType) -> Column:
     """A time value as a zoneless timestamp in UTC; NULL for text in none of the ISO forms.
 
@@ -27,7 +38,7 @@ def utc_time(column: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.DateType):
         return column.cast("timestamp_ntz")
     if isinstance(kind, T.TimestampType):
-        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), column.cast("timestamp_ntz"))
+        return _utc_clock(column)
     if isinstance(kind, T.StringType):
         text = F.trim(column)
         *zoned, day = _ISO_FORMS
@@ -39,9 +50,10 @@ def utc_time(column: Column, kind: T.DataType) -> Column:
 
 def rfc3339(moment: Column) -> Column:
     """UTC timestamp as ``2024-01-01T00:00:00Z``, with six decimals when there is a fraction."""
-    whole = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
-    fraction = F.date_format(moment, "SSSSSS")
-    return F.concat(whole, F.when(fraction != "000000", F.concat(F.lit("."), fraction)).otherwise(F.lit("")), F.lit("Z"))
+    text = moment.cast("timestamp_ntz").cast("string")  # 2024-01-01 00:00:00[.fraction], whatever the session zone
+    whole = F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
+    fraction = F.when(F.length(text) > 19, F.concat(F.lit("."), F.rpad(F.substring(text, 21, 6), 6, "0")))
+    return F.concat(whole, F.coalesce(fraction, F.lit("")), F.lit("Z"))
 
 
 def partition_segments(relative_path: Column) -> Column:

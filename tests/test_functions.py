@@ -231,12 +231,24 @@ def test_times(spark):
     assert tuple(row.first()) == ("2024-01-02T00:00:00Z", "2024-01-02T03:00:00Z")
 
 
-def test_instants_do_not_depend_on_the_session_zone(spark):
-    df = spark.sql("SELECT timestamp_seconds(1704164645) AS t")
-    want = "2024-01-02T03:04:05Z"
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kathmandu"])
+def test_instants_do_not_depend_on_the_session_zone(spark, zone):
+    # plain, before the epoch, just before midnight, both readings of a repeated local hour, a skipped one
+    instants = {
+        1704164645_000000: "2024-01-02T03:04:05Z",
+        -1: "1969-12-31T23:59:59.999999Z",
+        1704239999_999999: "2024-01-02T23:59:59.999999Z",
+        1730611800_000000: "2024-11-03T05:30:00Z",
+        1730615400_000000: "2024-11-03T06:30:00Z",
+        1710055800_500000: "2024-03-10T07:30:00.500000Z",
+    }
     try:
-        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-        assert df.select(rfc3339(utc_time(F.col("t"), T.TimestampType()))).first()[0] == want
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        df = spark.createDataFrame([(k,) for k in instants], "m long").withColumn("t", F.timestamp_micros("m"))
+        got = {r["m"]: r["v"] for r in df.select("m", rfc3339(utc_time(F.col("t"), T.TimestampType())).alias("v")).collect()}
+        assert got == instants
+        clock = spark.createDataFrame([(datetime(2024, 3, 10, 2, 30),)], "t timestamp_ntz")
+        assert clock.select(rfc3339(utc_time(F.col("t"), T.TimestampNTZType()))).first()[0] == "2024-03-10T02:30:00Z"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 

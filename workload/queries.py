@@ -51,7 +51,7 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
         if kind == "double":
             columns.append((F.round(value, digits) + F.lit(0.0)).alias(name))
         elif kind == "date":
-            columns.append(F.date_format(value, "yyyy-MM-dd").alias(name))
+            columns.append(value.cast("string").alias(name))
         elif kind == "int":
             columns.append(value.cast("long").alias(name))
         elif kind == "binary":
