@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from gridstats.llm.text import column_bytes, slices
 
@@ -235,7 +236,5 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids
                     columns.append(pa.StringArray.from_buffers(len(rows), buffers[1], buffers[2]))
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *added])
 
-    schema = docs.schema.add(ids, "array<int>")
-    if decoded:
-        schema = schema.add(decoded, "string")
-    return docs.mapInArrow(tokens, schema)
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType())), *([T.StructField(decoded, T.StringType())] if decoded else [])]
+    return docs.mapInArrow(tokens, T.StructType([*docs.schema.fields, *fields]))
