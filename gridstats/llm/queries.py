@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridstats.llm import toxicity
 from gridstats.llm.bpe import encode
 from gridstats.llm.ngram_join import jaccard_components
 
@@ -41,3 +42,13 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op7_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = toxicity.train(toxicity.with_labels(docs.where(~held_out), table(spark, sf_dir, "labels")))
+    scored = toxicity.score(docs, model)
+    predicted = F.when(F.col("toxicity") >= 0.5, 1).otherwise(0)
+    return scored.select("doc_id", held_out.alias("held_out"), F.col("toxicity").alias("score"), predicted.alias("predicted"), F.size("toxic_passages").alias("n_passages"))
