@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridstats.llm import toxicity
 from gridstats.llm.bpe import encode
+from gridstats.llm.decontaminate import contaminated
 from gridstats.llm.ngram_join import jaccard_components
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +53,22 @@ def op7_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs, model)
     predicted = F.when(F.col("toxicity") >= 0.5, 1).otherwise(0)
     return scored.select("doc_id", held_out.alias("held_out"), F.col("toxicity").alias("score"), predicted.alias("predicted"), F.size("toxic_passages").alias("n_passages"))
+
+
+@query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+# Every alignment of every document with every item, without seeds.
+ORACLE["op4_benchmark_decontamination"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark),
+dw AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS p FROM d),
+iw AS (SELECT item_id, len(w) AS n_words, unnest(w) AS word, unnest(range(len(w))) AS p FROM i),
+a AS (SELECT doc_id, item_id, n_words, dw.p - iw.p AS start, count(*) AS matched FROM dw JOIN iw USING (word)
+      GROUP BY ALL HAVING count(*) >= 0.8 * n_words),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, start) AS k FROM a)
+SELECT doc_id, item_id, CAST(start AS INTEGER) AS start, CAST(matched AS INTEGER) AS matched,
+       CAST(n_words AS INTEGER) AS n_words, round(matched / n_words, 6) AS share FROM r WHERE k = 1
+"""
