@@ -12,6 +12,7 @@ from gridstats.llm import toxicity
 from gridstats.llm.bpe import encode
 from gridstats.llm.decontaminate import contaminated
 from gridstats.llm.ngram_join import jaccard_components
+from gridstats.llm.pii import pseudonymise
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,3 +73,8 @@ r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched
 SELECT doc_id, item_id, CAST(start AS INTEGER) AS start, CAST(matched AS INTEGER) AS matched,
        CAST(n_words AS INTEGER) AS n_words, round(matched / n_words, 6) AS share FROM r WHERE k = 1
 """
+
+
+@query
+def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), "example key", count="n_values")
