@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridstats.functions.binding import let
+from gridstats.llm.columns import unused
 
 ROUNDS = 8
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])"
@@ -220,6 +221,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | Non
 
     replaced = let(found, lambda old: let(F.transform(old, lambda m: pseudonym(m, secret, undo)), lambda new: rebuilt(new, old)))
     done = F.when(F.col(text).rlike("[0-9@]"), replaced).otherwise(F.struct(F.col(text).alias("t"), F.lit(0).alias("n")))
-    result = docs.withColumn("_done", done)
-    columns = [F.col("_done.t").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c != count]
-    return result.select(*columns, *([F.col("_done.n").alias(count)] if count else []))
+    place = unused(docs, "done")
+    result = docs.withColumn(place, done)
+    columns = [F.col(f"{place}.t").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c != count]
+    return result.select(*columns, *([F.col(f"{place}.n").alias(count)] if count else []))

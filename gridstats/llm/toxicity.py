@@ -240,13 +240,14 @@ def train(labelled: DataFrame) -> ToxicityModel:
     return ToxicityModel(steps, decay, scale, *curve([tuple(r) for r in bins]))
 
 
-def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
-    """``docs`` with ``toxicity`` (0 to 1) and ``toxic_passages`` (first word, last word, gain, chance).
+def score(docs: DataFrame, model: ToxicityModel, text: str = "text", column: str = "toxicity", passages: str = "toxic_passages") -> DataFrame:
+    """``docs`` with ``column`` (0 to 1) and ``passages`` (first word, last word, gain, chance).
 
     Words are runs of letters; a passage is a maximal segment that fewer than 0.05 unrelated texts of the same length
-    would hold by chance. A null or empty text has no words and the score of that. All rows and other columns stay.
+    would hold by chance. A null or empty text has no words and the score of that. All rows and other columns stay; columns
+    of the two names are replaced.
     """
-    keep = [c for c in docs.columns if c not in ("toxicity", "toxic_passages")]
+    keep = [c for c in docs.columns if c.lower() not in (column.lower(), passages.lower())]
     names = [f"_kept{i}" for i in range(len(keep))]
     given = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)])
     found = best_segments(given, model.steps, names, names[keep.index(text)])
@@ -256,4 +257,4 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFram
     chance = lambda p: model.scale * n * F.exp(-model.decay * p["gain"])
     listed = F.transform("passages", lambda p: F.struct(p["first"].alias("first"), p["last"].alias("last"), p["gain"].alias("gain"), chance(p).alias("chance")))
     listed = F.filter(listed, lambda p: p["chance"] < 0.05)
-    return found.select(*[F.col(n_).alias(c) for c, n_ in zip(keep, names, strict=True)], value.alias("toxicity"), listed.alias("toxic_passages"))
+    return found.select(*[F.col(n_).alias(c) for c, n_ in zip(keep, names, strict=True)], value.alias(column), listed.alias(passages))
