@@ -84,12 +84,12 @@ def signatures(docs: DataFrame, width: int, percent: int, bits: int) -> DataFram
 def overlapping(docs: DataFrame, pairs: DataFrame, width: int, percent: int, bits: int) -> DataFrame:
     """The pairs (u, v) that link, from the whole sets of both texts."""
     spark = docs.sparkSession
-    wanted = spill(pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct())
+    wanted = pairs.select(F.col("u").alias("id")).union(pairs.select("v"))
 
     def ids(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield mix64(batch.column(0).to_numpy().view(np.uint64))
 
-    # A fixed-size filter spares most documents the hashing and the exchange; the join below decides.
+    # A fixed-size filter spares most documents the hashing and the exchange; the joins below decide.
     passing = spark.sparkContext.broadcast(counted(wanted, ids, bits) > 0)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +101,7 @@ def overlapping(docs: DataFrame, pairs: DataFrame, width: int, percent: int, bit
                 yield pa.record_batch({"id": batch.column(0).slice(row, 1), "tokens": pa.array([own.tobytes()], pa.binary())})
 
     schema = "id long, tokens binary"
-    own = spill(docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(sets, schema).join(wanted, "id"))
+    own = spill(docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(sets, schema))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -13,6 +13,7 @@ from gridstats.llm.bpe import encode
 from gridstats.llm.decontaminate import contaminated
 from gridstats.llm.ngram_join import jaccard_components
 from gridstats.llm.pii import pseudonymise
+from gridstats.llm.sharding import shard, size_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,3 +79,13 @@ SELECT doc_id, item_id, CAST(start AS INTEGER) AS start, CAST(matched AS INTEGER
 @query
 def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), "example key", count="n_values")
+
+
+@query
+def op9_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", size_of(F.col("text")).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("group")
+    )
+    done = shard(docs, 16, F.col("group"), F.col("size"))
+    return done.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
