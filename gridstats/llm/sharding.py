@@ -109,7 +109,7 @@ def splitters(rows: DataFrame, shards: int, many: int, total: int, tolerance: fl
 
 def ranges(rows: DataFrame, edges: list[int], many: int, most: int) -> tuple[list[int], list[int]]:
     """(all edges, rows before each): ``edges`` and further ones, until no range has many more than ``most`` rows."""
-    edges = sorted({0, *edges})
+    edges = sorted({0, *[e for e in edges if e < END]})
     while True:
         before = [int(n) for n, _ in below(rows, edges)]
         more: set[int] = set()
