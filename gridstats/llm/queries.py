@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridstats.llm import toxicity
+from gridstats.llm import language, toxicity
 from gridstats.llm.bpe import encode
 from gridstats.llm.decontaminate import contaminated
 from gridstats.llm.ngram_join import jaccard_components
@@ -89,3 +89,12 @@ def op9_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     done = shard(docs, 16, F.col("group"), F.col("size"))
     return done.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op8_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = language.train(docs.where(~held_out))
+    found = language.identify(docs.drop("lang"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), F.col("lang_accepted").alias("accepted"))
