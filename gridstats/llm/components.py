@@ -12,22 +12,26 @@ from pyspark.sql import functions as F
 from gridstats.plans.sizing import spill
 
 
+def smallest(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of ``size`` nodes the smallest that the links a[i] - b[i] reach."""
+    label = np.arange(size)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
 def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of one batch replaced by (node, smallest node of its part): same components, at most as many links."""
     for batch in batches:
         u, v = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         nodes, index = np.unique(np.concatenate([u, v]), return_inverse=True)
-        label = np.arange(len(nodes))
-        a, b = index[: len(u)], index[len(u) :]
-        while True:
-            low = np.minimum(label[a], label[b])
-            new = label.copy()
-            np.minimum.at(new, label[a], low)
-            np.minimum.at(new, label[b], low)
-            new = new[new]
-            if (new == label).all():
-                break
-            label = new
+        label = smallest(len(nodes), index[: len(u)], index[len(u) :])
         moved = np.flatnonzero(label != np.arange(len(nodes)))
         if len(moved):
             yield pa.record_batch({"u": pa.array(nodes[moved], pa.int64()), "v": pa.array(nodes[label[moved]], pa.int64())})

@@ -14,6 +14,7 @@ from gridstats.llm.decontaminate import contaminated
 from gridstats.llm.ngram_join import jaccard_components
 from gridstats.llm.pii import pseudonymise
 from gridstats.llm.sharding import shard, size_of
+from gridstats.llm.vectors import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,3 +99,8 @@ def op8_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.train(docs.where(~held_out))
     found = language.identify(docs.drop("lang"), model)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), F.col("lang_accepted").alias("accepted"))
+
+
+@query
+def op3_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
