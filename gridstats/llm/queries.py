@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridstats.llm import language, toxicity
+from gridstats.llm import language, toxicity, url_filter
 from gridstats.llm.bpe import encode
 from gridstats.llm.decontaminate import contaminated
 from gridstats.llm.ngram_join import jaccard_components
@@ -104,3 +104,19 @@ def op8_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+# The listed rules.
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+
+
+@query
+def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, url_filter.train(pages, URL_RULES), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_score")
