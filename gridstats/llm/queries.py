@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridstats.llm import language, toxicity, url_filter
+from gridstats.llm import language, licenses, toxicity, url_filter
 from gridstats.llm.bpe import encode
 from gridstats.llm.decontaminate import contaminated
 from gridstats.llm.ngram_join import jaccard_components
@@ -120,3 +120,32 @@ URL_RULES = (
 def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages, url_filter.train(pages, URL_RULES), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "license", F.round("dice", 6).alias("dice"), "kind", "place")
+
+
+# Every segment of every document with every template.
+ORACLE["op5_license_scan"] = (
+    "WITH t(k, license, text) AS (VALUES "
+    + ", ".join("({}, '{}', '{}')".format(k, name, text.replace("'", "''")) for k, (name, text) in enumerate(licenses.TEMPLATES))
+    + r"""),
+pieces AS (SELECT doc_id, string_split(text, chr(10)) AS l, regexp_split_to_array(text, '\n[ \t]*\n') AS p, text FROM documents),
+s AS (SELECT doc_id, 0 AS kind, unnest(l) AS segment, unnest(range(len(l))) AS place FROM pieces
+      UNION ALL SELECT doc_id, 1, unnest(p), unnest(range(len(p))) FROM pieces WHERE len(l) > 1
+      UNION ALL SELECT doc_id, 2, text, 0 FROM pieces WHERE len(p) > 1),
+sw AS (SELECT doc_id, kind, place, regexp_extract_all(lower(segment), '[\p{L}\p{N}]+') AS w FROM s),
+sg AS (SELECT doc_id, kind, place, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS g FROM sw WHERE len(w) > 1),
+tw AS (SELECT k, license, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM t),
+tg AS (SELECT k, license, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS g FROM tw),
+ug AS (SELECT k, license, len(g) AS a, unnest(g) AS g FROM tg),
+n AS (SELECT doc_id, kind, place, len(g) AS b, unnest(g) AS g FROM sg),
+d AS (SELECT doc_id, license, kind, place, 2.0 * count(*) / (a + b) AS dice FROM n JOIN ug USING (g)
+      GROUP BY doc_id, license, k, kind, place, a, b HAVING 2.0 * count(*) / (a + b) >= 0.8),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, license ORDER BY dice DESC, kind, place) AS q FROM d)
+SELECT doc_id, license, round(dice, 6) AS dice, ['line', 'paragraph', 'text'][kind + 1] AS kind, place FROM r WHERE q = 1
+"""
+)
