@@ -145,14 +145,14 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, bits:
         known.join(nodes.select(F.col("id").alias("doc_id"), "n", "d1", "d2"), ["doc_id", "n", "d1", "d2"], "left_semi")
         .dropDuplicates(["doc_id", "d1", "d2"])
         .select("doc_id", "n", F.posexplode(F.arrays_zip("token", "salts")).alias("pos", "x"))
-        .select(F.col("doc_id").alias("id"), "n", "pos", "x.token", F.pmod(F.xxhash64("doc_id"), F.col("x.salts")).alias("salt"))
+        .select(F.col("doc_id").alias("id"), "n", "pos", "x.token", F.pmod(F.xxhash64("doc_id"), F.col("x.salts")).alias("salt"), "x.salts")
     )
     by_place = Window.partitionBy("token", "salt").orderBy("pos", "n", "id")
     lists = lists.withColumns(
         {"first": F.first(F.struct("id", "n", "pos")).over(by_place), "place": F.row_number().over(by_place), "next": F.lead("id").over(by_place)}
     )
-    # salted lists of one row stay: their other salts may have rows
-    lists = spill(lists.where("place > 1 or next is not null or salt > 0").drop("place", "next"))
+    # single rows of a salted list stay: its other salts may have rows
+    lists = spill(lists.where("place > 1 or next is not null or salts > 1").drop("place", "next"))
 
     star = lists.where("id <> first.id").select("*", F.col("first.n").alias("fn"), F.col("first.pos").alias("fpos"))
     star = star.where(possible("", "f", percent)).select(F.least("id", "first.id").alias("u"), F.greatest("id", "first.id").alias("v"))
@@ -161,9 +161,9 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, bits:
 
     part = components(links)
     rows = lists.join(part.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    rows = spill(rows.select("token", "id", "n", "pos", "component"))
-    mixed = rows.groupBy("token").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    mixed = mixed.where("m > 2 and lo < hi").select("token")
+    rows = spill(rows.select("token", "id", "n", "pos", "component", "salts"))
+    mixed = rows.groupBy("token").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("salts").alias("salts"))
+    mixed = mixed.where("lo < hi and (m > 2 or salts > 1)").select("token")
     rows = spill(rows.join(mixed, "token", "left_semi"))
     # the smaller set of a pair is found within a shorter stretch of its order
     x = rows.where(F.col("pos") <= F.col("n") - least_overlap(F.col("n"), F.col("n"), percent))
