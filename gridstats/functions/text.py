@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,7 @@ _ISO_FORMS = (
 
 _DAY_MICROS = 86_400_000_000
 
+# What makes a folder a partition, and the characters that ids cannot hold.
 PARTITION_SEGMENT = r"^[^=]+=.+$"
 _NOT_ID = r"[^A-Za-z0-9_\-]+"
 
@@ -43,7 +46,7 @@ def utc_time(column: Column, kind: T.DataType) -> Column:
         text = F.trim(column)
         *zoned, day = _ISO_FORMS
         moments = [utc_time(F.try_to_timestamp(text, F.lit(f)), T.TimestampType()) for f in zoned]
-        plain = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_timestamp(text, F.lit(day)).cast("timestamp_ntz"))
+        plain = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(text, day).cast("timestamp_ntz"))
         return F.coalesce(*moments, plain)
     return F.lit(None).cast("timestamp_ntz")
 
@@ -72,33 +75,21 @@ def item_id(relative_path: Column) -> Column:
     return safe_id(F.replace(stem, F.lit("/"), F.lit("_")))
 
 
+# Catalog names by the leading word of an Arrow type's text, such as ``timestamp[us, tz=UTC]``; others are strings.
+_STORED_NAMES = {
+    "bool": "boolean",
+    "binary": "binary",
+    "large_binary": "binary",
+    "date": "date",
+    "timestamp": "datetime",
+    "int": "integer",
+    "uint": "integer",
+    "halffloat": "number",
+    "float": "number",
+    "double": "number",
+}
+
+
 def arrow_type_name(kind) -> str:
     """Catalog name of a column type as stored in a file."""
-    import pyarrow.types as pt
-
-    if pt.is_integer(kind):
-        return "integer"
-    if pt.is_floating(kind):
-        return "number"
-    if pt.is_boolean(kind):
-        return "boolean"
-    if pt.is_timestamp(kind):
-        return "datetime"
-    if pt.is_date(kind):
-        return "date"
-    if pt.is_binary(kind) or pt.is_large_binary(kind):
-        return "binary"
-    return "string"
-
-
-def type_name(kind: T.DataType) -> str:
-    """Catalog name of a Spark column type."""
-    names = (
-        (T.IntegralType, "integer"),
-        ((T.FloatType, T.DoubleType), "number"),
-        (T.BooleanType, "boolean"),
-        ((T.TimestampType, T.TimestampNTZType), "datetime"),
-        (T.DateType, "date"),
-        (T.BinaryType, "binary"),
-    )
-    return next((name for types, name in names if isinstance(kind, types)), "string")
+    return _STORED_NAMES.get(re.match("[a-z_]*", str(kind))[0], "string")

@@ -59,7 +59,7 @@ def _point_matrix(values: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         for i in with_srid:  # the rare form that carries an SRID before the coordinates
             value = values[int(at[i])].as_py()
             xy[i] = struct.unpack_from(order + "dd", value, 9) if len(value) >= 25 else (np.nan, np.nan)
-        point &= ~np.isnan(xy).any(axis=1)
+        point &= np.isfinite(xy).all(axis=1)
         x[at[point]], y[at[point]], valid[at[point]] = xy[point, 0], xy[point, 1], True
     return x, y, valid
 
@@ -168,26 +168,41 @@ def _double_from_hex(digits: Column) -> Column:
     return let(halves, assemble)
 
 
-def _coordinate(geometry: Column, first_byte: int) -> Column:
-    def read(digits: Column) -> Column:
+def _coordinate(geometry: Column, number: int) -> Column:
+    """The x (0) or y (1) of a point: behind byte order and type code, and behind the SRID where the code has one."""
+
+    def head(digits: Column) -> Column:
         little = F.substring(digits, 1, 2) == "01"
-        point = F.when(little, F.substring(digits, 3, 4) == "0100").otherwise(F.substring(digits, 7, 4) == "0001")
-        start = 2 * first_byte + 1
-        swapped = F.concat(*[F.substring(digits, start + 14 - 2 * k, 2) for k in range(8)])
-        value = let(F.when(little, swapped).otherwise(F.substring(digits, start, 16)), _double_from_hex)
-        return F.when((F.length(digits) >= 2 * _POINT_BYTES) & point, value)
+        code = F.substring(digits, 3, 8)
+        code = F.when(little, F.concat(*[F.substring(code, 7 - 2 * k, 2) for k in range(4)])).otherwise(code)
+        return F.struct(digits.alias("digits"), little.alias("little"), F.conv(code, 16, 10).cast("long").alias("code"))
+
+    def read(h: Column) -> Column:
+        skipped = F.when(h["code"].bitwiseAND(_SRID_FLAG) != 0, 4).otherwise(0)
+        raw = F.substring(h["digits"], 2 * (5 + 8 * number + skipped) + 1, F.lit(16))
+        swapped = let(raw, lambda r: F.concat(*[F.substring(r, 15 - 2 * k, 2) for k in range(8)]))
+        value = let(F.when(h["little"], swapped).otherwise(raw), _double_from_hex)
+        point = h["code"].bitwiseAND(0x0FFFFFFF) % 1000 == 1
+        return F.when(point & (F.length(h["digits"]) >= 2 * (_POINT_BYTES + skipped)), value)
+
+    ordered = F.substring(F.hex(geometry), 1, 2).isin("00", "01")
+    return F.when(ordered, let(F.hex(geometry), lambda digits: let(head(digits), read)))
+
 
-    return let(F.hex(geometry), read)
+def wkb_point(geometry: Column) -> tuple[Column, Column]:
+    """(lon, lat) of a WKB point; both NULL where one of them is not finite."""
+    x, y = _coordinate(geometry, 0), _coordinate(geometry, 1)
+    return F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
 
 
 def wkb_x(geometry: Column | str) -> Column:
-    """Longitude of a 2-D WKB point; NULL for NULL, empty or other geometries."""
-    return _coordinate(F.col(geometry) if isinstance(geometry, str) else geometry, 5)
+    """Longitude of a WKB point; NULL for NULL, empty, non-finite or other geometries."""
+    return wkb_point(F.col(geometry) if isinstance(geometry, str) else geometry)[0]
 
 
 def wkb_y(geometry: Column | str) -> Column:
-    """Latitude of a 2-D WKB point; NULL for NULL, empty or other geometries."""
-    return _coordinate(F.col(geometry) if isinstance(geometry, str) else geometry, 13)
+    """Latitude of a WKB point; NULL for NULL, empty, non-finite or other geometries."""
+    return wkb_point(F.col(geometry) if isinstance(geometry, str) else geometry)[1]
 
 
 def wkt_point(text: Column) -> tuple[Column, Column]:

@@ -19,7 +19,7 @@ from gridstats.functions.geo import angle_deg, dispersion, projection_factor, si
 from gridstats.functions.wkb import decode_points, point_wkb
 from gridstats.operators.link import pair_points
 from gridstats.operators.medians import median_column, split_medians
-from gridstats.plans.sizing import fits_broadcast, spill
+from gridstats.plans.sizing import broadcast_if_small, fits_broadcast, spill
 from gridstats.plans.skew import HOT_ROWS, hot_keys, skew_join, split_hot
 
 STATISTICS = ("mean", "median", "stddev", "min", "max", "n", "mad")
@@ -72,7 +72,7 @@ def _in_windows(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], me
 
 
 def _in_pieces(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], median: str) -> DataFrame:
-    """The same for a bounded number of hot groups, by map-side-combined aggregates only.
+    """The same for hot groups, by map-side-combined aggregates only.
 
     The rows of these groups are written once, because several passes read them.
     """
@@ -82,12 +82,12 @@ def _in_pieces(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], med
         return _layout(moments, keys, columns)
     middle = split_medians(rows, keys, columns, median)
     renamed = middle.withColumnsRenamed({c: f"{c}_median" for c in columns})
-    gaps = rows.join(F.broadcast(renamed), list(keys)).select(
+    gaps = rows.join(broadcast_if_small(renamed), list(keys)).select(
         *_quoted(keys), *[F.abs(F.col(f"`{c}`") - F.col(f"`{c}_median`")).alias(c) for c in columns]
     )
     spread = split_medians(gaps, keys, columns, median).withColumnsRenamed({c: f"{c}_mad" for c in columns})
     # left: a group whose values are all NULL has no median
-    joined = moments.join(F.broadcast(renamed), list(keys), "left").join(F.broadcast(spread), list(keys), "left")
+    joined = moments.join(broadcast_if_small(renamed), list(keys), "left").join(broadcast_if_small(spread), list(keys), "left")
     return _layout(joined, keys, columns)
 
 

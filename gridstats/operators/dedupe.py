@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from gridstats.functions.wkb import decode_points
 
+# Column with the place of a row in the file it came from.
+ROW_ORDER = "_order"
+_ROW_ORDER_TYPE = "struct<file:string,block:bigint,row:bigint>"
+
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the first by ``order``. Deterministic, and combines on the map side."""
@@ -23,15 +27,17 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
 def merge_grids(*grids: DataFrame) -> DataFrame:
     """All nodes of several grids; for a repeated ``node_id`` the earliest grid wins.
 
-    Nodes without a geometry are left out. Inside one grid the smallest (lon, lat) wins.
+    Nodes without a geometry are left out. Inside one grid the first row by ``_order`` wins, as a node file has it; of
+    a grid without that column, whose rows have no order, the smallest (lon, lat).
     """
     if not grids:
         raise ValueError("no grids given")
     ranked = []
     for rank, grid in enumerate(grids):
-        nodes = decode_points(grid).select("node_id", "lon", "lat")
+        place = F.col(ROW_ORDER) if ROW_ORDER in grid.columns else F.lit(None).cast(_ROW_ORDER_TYPE)
+        nodes = decode_points(grid).select("node_id", "lon", "lat", place.alias(ROW_ORDER))
         ranked.append(nodes.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).withColumn("_rank", F.lit(rank)))
-    return dedupe_first(reduce(DataFrame.unionByName, ranked), ["node_id"], ["_rank", "lon", "lat"]).drop("_rank")
+    return dedupe_first(reduce(DataFrame.unionByName, ranked), ["node_id"], ["_rank", ROW_ORDER, "lon", "lat"]).drop("_rank", ROW_ORDER)
 
 
 def distinct_points(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:

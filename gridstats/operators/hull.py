@@ -19,18 +19,17 @@ from pyspark.sql import types as T
 
 from gridstats.functions.polygon import RINGS
 from gridstats.functions.wkb import decode_points, is_finite
-from gridstats.plans.sizing import pin
+from gridstats.plans.sizing import broadcast_if_small, pin
 
 # Eight compass directions, counter-clockwise; the extreme points span an octagon inside the hull.
 _DIRECTIONS = ((1, 0), (1, 1), (0, 1), (-1, 1), (-1, 0), (-1, -1), (0, -1), (1, -1))
 # Points closer than this to the octagon's border (cross product, square degrees) are kept.
 _MARGIN = 1e-9
-# Largest number of groups whose octagons are broadcast; more groups skip the octagon step.
-_MAX_OCTAGONS = 10_000
 # Vertices a task holds before it passes its partial hulls on.
 _HELD = 1_000_000
-# Tasks of the second reduction.
-_SPREAD = 16
+# More points than this are filtered in numpy before the chain, by a polygon of extreme points.
+_FILTERED = 64
+_COMPASS = np.stack([np.cos(np.arange(32) * np.pi / 16), np.sin(np.arange(32) * np.pi / 16)])
 
 
 def _turns_left(ax: float, ay: float, bx: float, by: float, x: float, y: float) -> bool:
@@ -42,9 +41,23 @@ def _turns_left(ax: float, ay: float, bx: float, by: float, x: float, y: float)
     return (bx - ax) * (y - ay) > (by - ay) * (x - ax)
 
 
+def _near_border(xy: np.ndarray) -> np.ndarray:
+    """The points that are not strictly inside the polygon of the extreme points of 32 directions."""
+    if len(xy) <= _FILTERED:
+        return xy
+    corners = xy[(xy @ _COMPASS).argmax(axis=0)]
+    corners = corners[(corners != np.roll(corners, 1, axis=0)).any(axis=1)]
+    if len(corners) < 3:
+        return xy
+    inside = np.ones(len(xy), bool)
+    for a, b in zip(corners, np.roll(corners, -1, axis=0), strict=True):
+        inside &= (b[0] - a[0]) * (xy[:, 1] - a[1]) - (b[1] - a[1]) * (xy[:, 0] - a[0]) > _MARGIN
+    return xy[~inside]
+
+
 def hull_vertices(xy: np.ndarray) -> np.ndarray:
     """Hull vertices counter-clockwise from the lowest x (Andrew's monotone chain); no collinear ones."""
-    points = np.unique(xy, axis=0)
+    points = np.unique(_near_border(xy), axis=0)
     if len(points) < 3:
         return points
 
@@ -95,11 +108,7 @@ def _outside_octagon(points: DataFrame, by: list[str]) -> DataFrame:
         for k, (dx, dy) in enumerate(_DIRECTIONS)
         for axis, value in (("x", lon), ("y", lat))
     ]
-    octagons = points.groupBy(*[F.col(f"`{c}`") for c in by]).agg(*corners)
-    found = octagons.limit(_MAX_OCTAGONS + 1).coalesce(1).collect()
-    if not found or len(found) > _MAX_OCTAGONS:
-        return points
-    listed = points.sparkSession.createDataFrame(found, octagons.schema)
+    listed = broadcast_if_small(pin(points.groupBy(*[F.col(f"`{c}`") for c in by]).agg(*corners)))
     inside, sized = [], []
     for k in range(len(_DIRECTIONS)):
         ax, ay = F.col(f"_x{k}"), F.col(f"_y{k}")
@@ -110,7 +119,7 @@ def _outside_octagon(points: DataFrame, by: list[str]) -> DataFrame:
         inside.append(empty | (cross > _MARGIN))
         sized.append(~empty)
     dropped = reduce(operator.and_, inside) & reduce(operator.or_, sized)
-    return points.join(F.broadcast(listed), by).where(~dropped).select(*[F.col(f"`{c}`") for c in by], "lon", "lat")
+    return points.join(listed, by).where(~dropped).select(*[F.col(f"`{c}`") for c in by], "lon", "lat")
 
 
 def convex_hull(points: DataFrame, by: Sequence[str] = (), geometry: str = "geometry") -> DataFrame:
@@ -138,7 +147,7 @@ def convex_hull(points: DataFrame, by: Sequence[str] = (), geometry: str = "geom
     names = [F.col(f"`{c}`") for c in groups]
     vertex_rows = narrowed.mapInPandas(_partial(groups), vertices)
     # by position, not by group: a hot group is spread over all tasks
-    fewer = vertex_rows.repartition(_SPREAD, "lon", "lat").mapInPandas(_partial(groups), vertices)
+    fewer = vertex_rows.repartition("lon", "lat").mapInPandas(_partial(groups), vertices)
     hulls = pin(fewer.groupBy(*names).applyInPandas(close, rings))
     if hulls.isEmpty():
         raise ValueError("no geometries found")

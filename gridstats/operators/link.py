@@ -104,8 +104,9 @@ def pair_points(
 ) -> DataFrame:
     """The pairs behind ``link_to_grid``, with the point columns in ``keep`` carried along.
 
-    Returns ``keep`` + ``node_id, node_lon, node_lat``. A grid that is provably small is broadcast and the
-    points are not shuffled at all; a larger one joins by shuffle with hot cells salted.
+    Returns ``keep`` + ``node_id, node_lon, node_lat``; grid rows that repeat a node count once. Cells of the nodes
+    that are provably few are broadcast and the points are not shuffled at all; more join by shuffle with hot cells
+    salted, as do any with ``broadcast_grid=False``.
     """
     if not radius_km > 0:
         raise ValueError("radius_km must be positive")
@@ -120,12 +121,11 @@ def pair_points(
 
     nodes = decode_points(grid)
     nodes = nodes.select("node_id", F.col("lon").alias("node_lon"), F.col("lat").alias("node_lat"))
-    nodes = _valid(nodes, "node_lon", "node_lat")
-    small = fits_broadcast(nodes) if broadcast_grid is None else broadcast_grid
+    nodes = _valid(nodes, "node_lon", "node_lat").distinct()
     if within_radius:
         nodes = nodes.select("*", *_trig("node_lat", "_g"))
     cells = _node_cells(nodes, height, radius_km, strict_window)
-    if small:
+    if broadcast_grid is not False and fits_broadcast(cells):
         pairs = left.join(F.broadcast(cells), "_cell")
     else:
         pairs = skew_join(left, cells, ["_cell"], salt_by, hot_rows)

@@ -8,7 +8,7 @@ Three map-side-combined counts per call, whatever the size of the largest group:
 3. only rows of those buckets are counted by value, and the middle values are read off.
 
 The sketch merely places the bucket borders; the counts are exact, so the result does not depend on it.
-What each step passes on is at most a few rows per hot group, so it is computed once and broadcast.
+What each step passes on is a few rows per hot group: computed once, and broadcast when provably small.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridstats.constants import APPROX_ACCURACY
-from gridstats.plans.sizing import pin
-from gridstats.plans.skew import MAX_HOT_KEYS, running_total
+from gridstats.plans.sizing import broadcast_if_small, pin
+from gridstats.plans.skew import running_total
 
 BUCKETS = 1024
 _MARGIN = 0.001
@@ -44,10 +44,10 @@ def _bucket(x: Column, low: Column, high: Column) -> Column:
 
 
 def split_medians(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], median: str) -> DataFrame:
-    """``keys`` + one median per column, for a bounded number of arbitrarily large groups."""
+    """``keys`` + one median per column, for any number of arbitrarily large groups."""
     group = [F.col(f"`{k}`") for k in keys]
     if median == "approx":
-        return pin(rows.groupBy(*group).agg(*[median_column(c, median).alias(c) for c in columns]), MAX_HOT_KEYS)
+        return pin(rows.groupBy(*group).agg(*[median_column(c, median).alias(c) for c in columns]))
 
     sketches = rows.groupBy(*group).agg(
         F.array(*[
@@ -59,11 +59,11 @@ def split_medians(rows: DataFrame, keys: Sequence[str], columns: Sequence[str],
             for c in columns
         ]).alias("_sketch")
     )
-    sketch = pin(sketches, MAX_HOT_KEYS)
+    sketch = pin(sketches)
     values = F.array(*[F.col(f"`{c}`").cast("double") for c in columns])
     long = (
         rows.withColumn("_values", values)
-        .join(F.broadcast(sketch), list(keys))
+        .join(broadcast_if_small(sketch), list(keys))
         .select(*group, F.posexplode(F.arrays_zip(F.col("_values").alias("x"), F.col("_sketch").alias("s"))).alias("_c", "_v"))
         .select(*group, "_c", F.col("_v.x").alias("_x"), F.col("_v.s.span").alias("_span"), F.col("_v.s.size").alias("_size"))
         .where(F.col("_x").isNotNull())
@@ -86,7 +86,7 @@ def split_medians(rows: DataFrame, keys: Sequence[str], columns: Sequence[str],
         .where((F.col("_end") > F.col("_low")) & (F.col("_start") <= F.col("_high")))
         .select(*group, "_c", "_b", "_start", "_low", "_high")
     )
-    picked = pin(buckets, 2 * len(columns) * MAX_HOT_KEYS)
+    picked = pin(buckets)
     bucket = [*cell, "_b"]
     upto = F.col("_start") + running_total(F.col("_rows"), bucket, ["_x"])
 
@@ -95,7 +95,7 @@ def split_medians(rows: DataFrame, keys: Sequence[str], columns: Sequence[str],
 
     middles = (
         long.drop("_span", "_size")
-        .join(F.broadcast(picked), bucket)
+        .join(broadcast_if_small(picked), bucket)
         .groupBy(*group, "_c", "_b", "_x", "_start", "_low", "_high")
         .agg(F.count("*").alias("_rows"))
         .withColumn("_upto", upto)
@@ -107,4 +107,4 @@ def split_medians(rows: DataFrame, keys: Sequence[str], columns: Sequence[str],
     wide = middles.groupBy(*group).agg(
         *[F.max(F.when(F.col("_c") == i, halves)).alias(c) for i, c in enumerate(columns)]
     )
-    return pin(wide, MAX_HOT_KEYS)
+    return pin(wide)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,11 +36,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; a new local one only where none is set."""
+    """The shared checkpoint folder of the session. Where none is set, a session whose tasks all run on this machine gets
+    a local one; any other is refused, because its executors would not see it."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
-        current = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gridstats-")
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if current is None:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            current = tempfile.mkdtemp(prefix="gridstats-")
         context.setCheckpointDir(current)
     return current
 
@@ -56,14 +62,12 @@ def spill(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def pin(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Compute ``df`` once, now. A provably short result becomes a local relation, a longer one a checkpoint.
+def pin(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Compute ``df`` once, now, whatever its size: it is written, and a provably short result becomes a local relation.
 
-    Meant for footprints and other results that are tiny next to the points they come from.
+    Meant for footprints, file listings and the results of file jobs. The plan of ``df`` runs a single time.
     """
-    # the limit is not the last step, so all tasks run in one job, each stopping at the limit
-    rows = df.limit(max_rows + 1).coalesce(1).collect()
-    if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema)
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
+    written = spill(df)
+    if not fits_broadcast(written, max_rows, max_bytes):
+        return written
+    return df.sparkSession.createDataFrame(written.collect(), df.schema)

@@ -1,9 +1,8 @@
 """Hot keys: find them with one map-side-combined count, then split them.
 
-A key that holds a large share of all rows would make one task do that share of the work. The two
-helpers below find such keys exactly and return a list whose length is bounded by construction, so it
-can be broadcast; every key that is not on the list holds at most ``max(min_rows, rows / MAX_HOT_KEYS)``
-rows and is safe in one task.
+A key that holds a large share of all rows would make one task do that share of the work. The helpers below
+find all such keys exactly; every other key holds at most ``min_rows`` rows and is safe in one task. The list of
+hot keys is computed once and stays distributed: it is broadcast when provably small and joined by shuffle else.
 """
 
 from __future__ import annotations
@@ -13,11 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridstats.plans.sizing import broadcast_if_small, pin
+
 # Rows of one key above which the key is split. A task holds the distinct values of one key in memory for an
 # exact median, so this also bounds its memory (some tens of megabytes per column).
 HOT_ROWS = 200_000
-# At most this many keys are treated as hot (the largest ones).
-MAX_HOT_KEYS = 100_000
 
 
 def column_names(df: DataFrame) -> list[Column]:
@@ -25,19 +24,16 @@ def column_names(df: DataFrame) -> list[Column]:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, rows_bound: int | None = None) -> DataFrame | None:
-    """The keys with more than ``min_rows`` rows, largest first, or ``None`` when there are none.
+    """The keys with more than ``min_rows`` rows and their ``_rows``, or ``None`` when there are none.
 
     ``rows_bound`` is a cheap upper bound on the rows of one key; when it rules hot keys out, nothing is
-    counted. The count combines on the map side, so only (key, count) pairs are shuffled. The found keys
-    (at most ``MAX_HOT_KEYS``) come back as a local relation: later jobs do not count again.
+    counted. The count combines on the map side, so only (key, count) pairs are shuffled, and it is made once.
     """
     if rows_bound is not None and rows_bound <= min_rows:
         return None
     counts = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count("*").alias("_rows"))
-    largest = counts.where(F.col("_rows") > min_rows).orderBy(F.desc("_rows")).limit(MAX_HOT_KEYS)
-    schema = largest.schema
-    found = largest.collect()
-    return df.sparkSession.createDataFrame(found, schema) if found else None
+    found = pin(counts.where(F.col("_rows") > min_rows))
+    return None if found.isEmpty() else found
 
 
 def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -48,8 +44,8 @@ def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(ordinary rows, hot rows) by a broadcast of the bounded hot-key list."""
-    listed = F.broadcast(hot.select(*[F.col(f"`{k}`") for k in keys]))
+    """(ordinary rows, hot rows)."""
+    listed = broadcast_if_small(hot.select(*[F.col(f"`{k}`") for k in keys]))
     return df.join(listed, list(keys), "left_anti"), df.join(listed, list(keys), "left_semi")
 
 
@@ -59,22 +55,22 @@ def skew_join(
     keys: Sequence[str],
     salt_by: Sequence[str],
     min_rows: int = HOT_ROWS,
-    salts: int = 64,
     rows_bound: int | None = None,
 ) -> DataFrame:
     """Inner equi join for a ``small`` side that is too large to broadcast.
 
-    Rows of ``big`` under a hot key are spread over ``salts`` sub-keys by a hash of ``salt_by``; only
-    the matching rows of ``small`` are repeated. All other keys join as they are.
+    Rows of ``big`` under a hot key are spread by a hash of ``salt_by`` over as many sub-keys as give each about
+    ``min_rows`` rows; only the matching rows of ``small`` are repeated. All other keys join as they are.
     """
     hot = hot_keys(big, keys, min_rows, rows_bound)
     if hot is None:
         return big.join(small, list(keys))
-    listed = F.broadcast(hot.select(*[F.col(f"`{k}`") for k in keys], F.lit(True).alias("_hot")))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")).otherwise(0)
-    spread = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    left = big.join(listed, list(keys), "left").withColumn("_salt", salt).drop("_hot")
-    right = small.join(listed, list(keys), "left").withColumn("_salt", F.explode(spread)).drop("_hot")
+    salts = F.ceil(F.col("_rows") / min_rows).cast("int")
+    listed = broadcast_if_small(hot.select(*[F.col(f"`{k}`") for k in keys], salts.alias("_salts")))
+    many = F.coalesce(F.col("_salts"), F.lit(1))
+    salt = F.pmod(F.xxhash64(*salt_by), many).cast("int")
+    left = big.join(listed, list(keys), "left").withColumn("_salt", salt).drop("_salts")
+    right = small.join(listed, list(keys), "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), many - 1))).drop("_salts")
     return left.join(right, [*keys, "_salt"]).drop("_salt")
 
 

@@ -15,6 +15,8 @@ from gridstats.constants import RESULT_FOLDERS
 from gridstats.functions.text import arrow_type_name, partition_segments
 from gridstats.plans.sizing import pin
 
+PARQUET_MARK = b"PAR1"
+
 FOOTER = (
     "path string, uri string, rel string, length bigint, num_rows bigint, geo string, "
     "columns array<struct<name:string,type:string>>"
@@ -34,10 +36,27 @@ def open_location(location: str) -> tuple[fs.FileSystem, str]:
     if location.startswith("file:"):
         return fs.LocalFileSystem(), "/" + location.removeprefix("file:").lstrip("/")
     if "://" in location:
-        return fs.FileSystem.from_uri(location)
+        return fs.FileSystem.from_uri(store_uri(location))
     return fs.LocalFileSystem(), location
 
 
+def store_uri(location: str) -> str:
+    """The location in the spelling of the Arrow file systems, for the schemes that Hadoop spells in another way."""
+    scheme, rest = location.split("://", 1)
+    if scheme in ("s3a", "s3n"):
+        return f"s3://{rest}"
+    if scheme in ("wasb", "wasbs"):
+        # container@account.host/path: Arrow names the account as host and the container as user
+        scheme = "abfss" if scheme == "wasbs" else "abfs"
+        return f"{scheme}://{rest.replace('.blob.', '.dfs.', 1)}"
+    return location
+
+
+def whole_on_close(system: fs.FileSystem) -> bool:
+    """Whether a file appears under its name only when it is closed, as objects of a store do."""
+    return system.type_name in ("s3", "gcs", "abfs")
+
+
 def in_result_folder(relative: Column, exclude: Sequence[str] = RESULT_FOLDERS) -> Column:
     hit = F.lit(False)
     for pattern in exclude:
@@ -64,17 +83,22 @@ def list_files(spark: SparkSession, root: str, exclude: Sequence[str] = RESULT_F
     return files.where(kept).select("path", "uri", "rel", "length")
 
 
+def is_parquet(handle) -> bool:
+    """Whether a file begins and ends with the marks of the format. Errors of reading, and of a broken footer, are raised."""
+    size = handle.size()
+    return size >= 12 and handle.read_at(4, 0) == PARQUET_MARK == handle.read_at(4, size - 4)
+
+
 def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for path, uri, rel, length in batch.itertuples(index=False):
             system, where = open_location(path)
-            try:
-                with system.open_input_file(where) as handle:
-                    file = pq.ParquetFile(handle)
-                    schema, count = file.schema_arrow, file.metadata.num_rows
-            except (OSError, ValueError):
-                continue  # not a Parquet file
+            with system.open_input_file(where) as handle:
+                if not is_parquet(handle):
+                    continue
+                file = pq.ParquetFile(handle)
+                schema, count = file.schema_arrow, file.metadata.num_rows
             geo = (schema.metadata or {}).get(b"geo")
             columns = [{"name": f.name, "type": arrow_type_name(f.type)} for f in schema]
             rows.append((path, uri, rel, length, count, geo.decode() if geo else None, columns))
@@ -93,7 +117,7 @@ def parquet_inventory(spark: SparkSession, root: str, exclude: Sequence[str] = R
 
 def require_files(inventory: DataFrame, root: str) -> DataFrame:
     """The inventory, computed once; ``ValueError`` when it is empty."""
-    pinned = pin(inventory, max_rows=100_000)
+    pinned = pin(inventory)
     if pinned.isEmpty():
         raise ValueError(f"no Parquet files found under {root}")
     return pinned
@@ -161,10 +185,14 @@ def _pump(reader, sink) -> None:
 
 
 def write_whole(location: str, fill: Callable) -> None:
-    """Write a file under a temporary name and move it into place, so a repeated task leaves a whole file."""
+    """Write a file so that a repeated task leaves a whole one: where objects appear whole, in place; else by a move."""
     import uuid
 
     system, where = open_location(location)
+    if whole_on_close(system):
+        with system.open_output_stream(where) as sink:
+            fill(sink)
+        return
     folder, name = where.rsplit("/", 1)
     system.create_dir(folder, recursive=True)
     temporary = f"{folder}/.{name}.{uuid.uuid4().hex}"

@@ -29,9 +29,6 @@ from gridstats.sources.files import (
 )
 from gridstats.sources.tables import guard_target
 
-# Rows of one final file. A folder with more rows gets several files, so no task writes without bound.
-MAX_ROWS_PER_FILE = 200_000_000
-
 # Footer members that describe how grid edges are to be read.
 GRID_EXTRA = {"orientation": "counterclockwise", "edges": "spherical"}
 
@@ -71,7 +68,7 @@ def _with_footers(
     jobs = files.withColumnRenamed("geo", "_old").drop("_old")
     if kind is None:
         return jobs.withColumn("geo", F.lit(footer_json(geometry, encoding, [], [0.0] * 4, extra)))
-    boxes = pin(files.join(_boxes(spark, root, files, geometry, kind), "uri").select("uri", "target", *BOX, "types"), 100_000)
+    boxes = pin(files.join(_boxes(spark, root, files, geometry, kind), "uri").select("uri", "target", *BOX, "types"))
     over = [*box_columns(*[F.col(s) for s in BOX]), F.array_sort(F.array_distinct(F.flatten(F.collect_set("types")))).alias("types")]
     whole = boxes.agg(*over).first()
     sides = [0.0 if whole[s] is None else whole[s] for s in BOX]
@@ -102,7 +99,11 @@ def _open_parquet(handle) -> tuple[pq.ParquetFile, pa.Schema]:
 
 
 def _merge_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Stream the sources of each target into it, one row group at a time."""
+    """Stream the sources of each target into it, one row group at a time.
+
+    A target has the columns of all its sources, in the order they first occur, each with the type it has there; a source
+    without a column gives NULL.
+    """
     for batch in batches:
         rows = []
         for target, sources, geo in zip(batch["target"], batch["sources"], batch["geo"]):
@@ -114,13 +115,24 @@ def _merge_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for source in sources:
                     system, where = open_location(source)
                     with system.open_input_file(where) as handle:
-                        file, stored = _open_parquet(handle)
-                        if writer is None:
+                        stored = _open_parquet(handle)[1]
+                        if schema is None:
                             schema = stored.with_metadata({**(stored.metadata or {}), b"geo": geo.encode()})
+                        for field in stored:
+                            if field.name not in schema.names:
+                                schema = schema.append(field.with_nullable(True))
+                for source in sources:
+                    system, where = open_location(source)
+                    with system.open_input_file(where) as handle:
+                        file, _ = _open_parquet(handle)
+                        if writer is None:
                             writer = pq.ParquetWriter(sink, schema, compression="snappy")
                         for group in range(file.num_row_groups):
                             table = file.read_row_group(group)
                             if not table.schema.equals(schema, check_metadata=False):
+                                for field in schema:
+                                    if field.name not in table.schema.names:
+                                        table = table.append_column(field, pa.nulls(table.num_rows, field.type))
                                 table = table.select(schema.names).cast(schema)
                             writer.write_table(table.replace_schema_metadata(schema.metadata))
                             count += table.num_rows
@@ -140,20 +152,20 @@ def _run(jobs: DataFrame) -> DataFrame:
     )
     spread = max(spark.sparkContext.defaultParallelism, 1)
     done = merged.repartition(spread, "target").mapInPandas(_merge_task, "target string, sources int, rows bigint")
-    return pin(done, max_rows=100_000)
+    return pin(done)
 
 
-def _folder_targets(files: DataFrame, base: str, max_rows: int) -> DataFrame:
+def _folder_targets(files: DataFrame, base: str, max_rows: int | None) -> DataFrame:
     """One final file per folder: ``<value>.parquet`` under ``key=value``, else ``data.parquet``.
 
-    A folder with more than ``max_rows`` rows continues in ``<name>-1.parquet`` and so on, split at file borders.
+    With ``max_rows``, a folder with more rows continues in ``<name>-1.parquet`` and so on, split at file borders.
     """
     folder = F.regexp_replace(F.regexp_extract("rel", r"^(.*/)?[^/]*$", 1), "/$", "")
     value = F.regexp_extract(F.element_at(F.split(folder, "/"), -1), r"^[^=]*=(.+)$", 1)
     stem = F.when(value != "", value).otherwise(F.lit("data"))
     order = Window.partitionBy("_folder").orderBy("rel").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("num_rows").over(order), F.lit(0))
-    number = F.floor(before / max_rows)
+    number = F.floor(before / max_rows) if max_rows else F.lit(0)
     suffix = F.when(number > 0, F.concat(F.lit("-"), number.cast("string"))).otherwise(F.lit(""))
     path = F.concat(
         F.lit(base + "/"),
@@ -172,7 +184,7 @@ def consolidate_files(
     target: str,
     geometry: str = "geometry",
     bbox_scope: str = "dataset",
-    max_rows_per_file: int = MAX_ROWS_PER_FILE,
+    max_rows_per_file: int | None = None,
     extra: dict | None = None,
 ) -> DataFrame:
     """Rewrite an existing dataset to one file per folder with the ``geo`` footer. Files keep their own columns."""
@@ -204,7 +216,7 @@ def consolidate(
     partition_by: Sequence[str] = (),
     geometry: str = "geometry",
     bbox_scope: str = "dataset",
-    max_rows_per_file: int = MAX_ROWS_PER_FILE,
+    max_rows_per_file: int | None = None,
     extra: dict | None = None,
 ) -> DataFrame:
     """Write ``df`` as one GeoParquet file per partition folder under ``target``.

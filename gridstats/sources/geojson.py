@@ -41,30 +41,36 @@ def _parts(kind: Column, coordinates: Column) -> Column:
         .when(kind == "MultiPoint", points)
         .when(kind == "LineString", line)
         .when(kind == "MultiLineString", lines)
+        .otherwise(F.raise_error(F.concat(F.lit("unknown GeoJSON geometry type: "), F.coalesce(kind, F.lit("none")))))
     )
 
 
 def read_geojson(spark: SparkSession, path: str, features: str = "first") -> DataFrame:
     """Polygon parts (``rings``) of a Geometry, a Feature or a FeatureCollection.
 
-    ``features="first"`` takes the first feature of a collection (grids), ``"all"`` every feature (maps).
+    ``features="first"`` takes the first feature of a collection (grids), ``"all"`` every feature (maps). A feature
+    without geometry has no parts. Members of a GeometryCollection count as parts; an unknown type is an error.
     """
     if features not in ("first", "all"):
         raise ValueError("features must be 'first' or 'all'")
-    shape = "struct<type:string,coordinates:string>"
+    member = "struct<type:string,coordinates:string>"
+    shape = f"struct<type:string,coordinates:string,geometries:array<{member}>>"
     text = spark.read.text(path, wholetext=True)
     document = F.from_json(
         "value",
-        f"struct<type:string,coordinates:string,geometry:{shape},features:array<struct<geometry:{shape}>>>",
+        f"struct<type:string,coordinates:string,geometries:array<{member}>,geometry:{shape},features:array<struct<geometry:{shape}>>>",
     )
-    own = F.struct(F.col("d.type").alias("type"), F.col("d.coordinates").alias("coordinates"))
+    own = F.struct(*[F.col(f"d.{name}").alias(name) for name in ("type", "coordinates", "geometries")])
     members = F.transform("d.features", lambda f: f["geometry"])
     shapes = (
         F.when(F.col("d.features").isNotNull(), members if features == "all" else F.slice(members, 1, 1))
-        .when(F.col("d.geometry").isNotNull(), F.array("d.geometry"))
+        .when((F.col("d.type") == "Feature") | F.col("d.geometry").isNotNull(), F.array("d.geometry"))
         .otherwise(F.array(own))
     )
     geometries = text.select(document.alias("d")).select(F.explode(shapes).alias("g")).where("g is not null")
+    plain = F.struct(F.col("g.type").alias("type"), F.col("g.coordinates").alias("coordinates"))
+    single = F.when(F.col("g.type") == "GeometryCollection", F.col("g.geometries")).otherwise(F.array(plain))
+    geometries = geometries.select(F.explode(single).alias("g"))
     parts = geometries.select(F.explode(_parts(F.col("g.type"), F.col("g.coordinates"))).alias("rings"))
     return parts.where(F.size("rings") > 0)
 

@@ -12,8 +12,13 @@ from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+import pyarrow.types as pt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridstats.constants import (
     DEFAULT_LICENSE,
@@ -30,13 +35,12 @@ from gridstats.sources.files import (
     open_location,
     parquet_inventory,
     qualified,
-    read_stored,
     require_files,
     with_footer_fields,
     write_whole,
 )
 
-_DESCRIPTION = "GeoParquet assets produced by aggregation."
+_DESCRIPTION = "Statistics of point observations per grid node, as GeoParquet files."
 
 
 def asset_times(df: DataFrame, by: Sequence[str], candidates: Sequence[str] = TIME_CANDIDATES) -> DataFrame:
@@ -51,6 +55,12 @@ def asset_times(df: DataFrame, by: Sequence[str], candidates: Sequence[str] = TI
         empty = F.lit(None).cast("timestamp_ntz")
         return df.select(*group).distinct().withColumns({"start_time": empty, "end_time": empty})
     moments = df.select(*group, *[utc_time(F.col(f"`{c}`"), df.schema[c].dataType).alias(f"_t{i}") for i, c in enumerate(present)])
+    return _first_range(moments, by, present)
+
+
+def _first_range(moments: DataFrame, by: Sequence[str], present: Sequence[str]) -> DataFrame:
+    """``by``, ``start_time``, ``end_time`` from the zoneless moments ``_t0, _t1, ...`` of the candidates ``present``."""
+    group = [F.col(f"`{c}`") for c in by]
     ranges = moments.groupBy(*group).agg(
         *[f(f"_t{i}").alias(f"_{f.__name__}{i}") for i in range(len(present)) for f in (F.min, F.max)]
     )
@@ -64,10 +74,55 @@ def asset_times(df: DataFrame, by: Sequence[str], candidates: Sequence[str] = TI
     return ranges.select(*group, F.coalesce(*starts).alias("start_time"), F.coalesce(*ends).alias("end_time"))
 
 
+_STORED_TIMES = "uri string, candidate int, moment timestamp_ntz, text string"
+
+
+def _stored_times(candidates: Sequence[str]):
+    """Per file, row group and candidate column: first and last moment, or the distinct texts of a text column."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, uri in zip(batch.column("path").to_pylist(), batch.column("uri").to_pylist(), strict=True):
+                system, where = open_location(path)
+                with system.open_input_file(where) as handle:
+                    file = pq.ParquetFile(handle, coerce_int96_timestamp_unit="us")
+                    for k, name in enumerate(candidates):
+                        if name not in file.schema_arrow.names:
+                            continue
+                        for group in range(file.num_row_groups):
+                            column = file.read_row_group(group, columns=[name]).column(0)
+                            moments, texts = [], []
+                            if pt.is_string(column.type) or pt.is_large_string(column.type):
+                                texts = column.unique().drop_null().to_pylist()
+                            elif pt.is_timestamp(column.type) or pt.is_date(column.type):
+                                ends = pc.min_max(column.cast(pa.timestamp("us", getattr(column.type, "tz", None)), safe=False))
+                                moments = [v.as_py().replace(tzinfo=None) for v in ends.values() if v.is_valid]
+                            n = len(moments) + len(texts)
+                            yield pa.record_batch(
+                                {
+                                    "uri": pa.array([uri] * n, pa.string()),
+                                    "candidate": pa.array([k] * n, pa.int32()),
+                                    "moment": pa.array([*moments, *[None] * len(texts)], pa.timestamp("us")),
+                                    "text": pa.array([*[None] * len(moments), *texts], pa.string()),
+                                }
+                            )
+
+    return read
+
+
+def file_times(files: DataFrame, candidates: Sequence[str] = TIME_CANDIDATES) -> DataFrame:
+    """``_uri``, ``start_time``, ``end_time`` of the files in an inventory, each read with the types it has itself."""
+    spread = max(files.sparkSession.sparkContext.defaultParallelism, 1)
+    rows = files.select("path", "uri").repartition(spread, "path").mapInArrow(_stored_times(candidates), _STORED_TIMES)
+    moment = F.coalesce("moment", utc_time(F.col("text"), T.StringType()))
+    moments = rows.select(F.col("uri").alias("_uri"), *[F.when(F.col("candidate") == k, moment).alias(f"_t{k}") for k in range(len(candidates))])
+    return _first_range(moments, ["_uri"], list(candidates))
+
+
 def read_assets(spark: SparkSession, root: str, candidates: Sequence[str] = TIME_CANDIDATES) -> DataFrame:
     """One row per file: ``rel, partitions, bbox, start_time, end_time, row_count, columns, primary_column``."""
     files = require_files(with_footer_fields(parquet_inventory(spark, root)), root)
-    times = asset_times(read_stored(spark, root, files), ["_uri"], candidates)
+    times = file_times(files, candidates)
     return files.join(times, files["uri"] == times["_uri"], "left").select(
         "rel",
         partition_segments(F.col("rel")).alias("partitions"),
@@ -223,7 +278,7 @@ def _catalog_document(row: Any, base: Mapping[str, Any]) -> dict[str, Any]:
         "type": "Catalog",
         "id": own.split("/")[-2],
         "stac_version": STAC_VERSION,
-        "description": f"Partition {segment}",
+        "description": f"Files of {segment}",
         "links": [*links, _link("parent", own, parent)],
     }
 
@@ -270,7 +325,7 @@ def write_stac(
         copy_files(incoming, f"{base}/assets")
         if move:
             incoming.select("path").mapInPandas(_delete_task, "path string").count()
-    assets = pin(read_assets(spark, f"{base}/assets", candidates), 100_000)
+    assets = pin(read_assets(spark, f"{base}/assets", candidates))
     timeless = assets.where("start_time is null").agg(F.min("rel")).first()[0]
     if timeless is not None:
         raise ValueError(f"no time found in {timeless}")

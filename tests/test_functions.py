@@ -3,13 +3,14 @@ import random
 import struct
 from datetime import date, datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridstats.functions.geo import angle_deg, dispersion, great_circle_m, projection_factor, sin_cos
 from gridstats.functions.polygon import buffer_pieces, covers, oriented
-from gridstats.functions.text import item_id, partition_segments, rfc3339, type_name, utc_time
+from gridstats.functions.text import arrow_type_name, item_id, partition_segments, rfc3339, utc_time
 from gridstats.functions.utm import utm_forward, utm_forward_point, utm_inverse, utm_zone, utm_zone_point
 from gridstats.functions.wkb import decode_points, geometry_bounds, geometry_type, point_wkb, wkb_x, wkb_y
 
@@ -265,6 +266,8 @@ def test_paths_and_ids(spark):
 
 
 def test_type_names():
-    kinds = [T.LongType(), T.FloatType(), T.BooleanType(), T.TimestampNTZType(), T.DateType(), T.BinaryType(), T.StringType()]
-    assert [type_name(k) for k in kinds] == ["integer", "number", "boolean", "datetime", "date", "binary", "string"]
-    assert type_name(T.ArrayType(T.LongType())) == "string"
+    kinds = [pa.int8(), pa.uint64(), pa.float16(), pa.float64(), pa.bool_(), pa.timestamp("us", "UTC"), pa.date32(), pa.binary(), pa.large_binary()]
+    names = ["integer", "integer", "number", "number", "boolean", "datetime", "date", "binary", "binary"]
+    assert [arrow_type_name(k) for k in kinds] == names
+    others = [pa.string(), pa.list_(pa.int32()), pa.decimal128(9, 2), pa.binary(3), pa.duration("s"), pa.dictionary(pa.int8(), pa.string())]
+    assert {arrow_type_name(k) for k in others} == {"string"}

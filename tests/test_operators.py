@@ -151,7 +151,7 @@ def test_hot_keys_and_salted_join(spark):
     assert hot_keys(big, ["k"], 1000) is None
     assert [r["k"] for r in hot_keys(big, ["k"], 10).collect()] == [0]
     small = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    joined = skew_join(big, small, ["k"], ["id"], min_rows=10, salts=7)
+    joined = skew_join(big, small, ["k"], ["id"], min_rows=10)
     assert sorted(joined.select("id", "v").collect()) == sorted(big.join(small, "k").select("id", "v").collect())
 
 
