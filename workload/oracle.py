@@ -137,6 +137,14 @@ def grid_stats(columns: list[str], keys: list[str] = ["day", "node_id"], median:
     )
 
 
+def located(sql: str) -> str:
+    """Statistics with the coordinates of their node."""
+    return (
+        f"SELECT s.*, {rounded('g.lon', 'geometry_lon')}, {rounded('g.lat', 'geometry_lat')} FROM ({sql}) s "
+        f"JOIN (WITH {GRID} SELECT * FROM grid) g USING (node_id)"
+    )
+
+
 ORACLE["agg_grid_exact"] = grid_stats(["speed", "temp"])
 ORACLE["agg_grid_fused"] = ORACLE["agg_grid_exact"]
 ORACLE["agg_grid_hot_split"] = ORACLE["agg_grid_exact"]
@@ -316,8 +324,8 @@ inset AS (
 size AS (
   SELECT *, ceil((x1 + {spacing} - x0) / {spacing})::bigint AS nx, ceil((y1 + {spacing} - y0) / {spacing})::bigint AS ny FROM inset),
 flat AS (
-  SELECT '{prefix}' || (r.j * nx + c.i + 1) AS node_id, x0 + c.i * {spacing} AS x, y0 + r.j * {spacing} AS y
-  FROM size, range(2000) c(i), range(2000) r(j) WHERE c.i < nx AND r.j < ny),
+  SELECT '{prefix}' || (r.j * nx + i + 1) AS node_id, x0 + i * {spacing} AS x, y0 + r.j * {spacing} AS y
+  FROM (SELECT *, unnest(range(nx)) AS i FROM size) c, LATERAL (SELECT unnest(range(c.ny)) AS j) r),
 {inverse('flat', 'nodes')}"""
 
 
@@ -381,7 +389,7 @@ wrap AS (
     FROM wrap w JOIN scattered p ON p.station = w.station AND (p.lon <> w.x OR p.lat <> w.y)
     WHERE w.k = 0 OR w.x <> w.sx OR w.y <> w.sy
     GROUP BY w.station, w.sx, w.sy, w.k)
-  WHERE k < 500)"""
+  WHERE k < (SELECT count(*) FROM scattered))"""
 _HULL = f"WITH RECURSIVE {_SCATTERED}, {_WRAP}"
 ORACLE["hull_vertices"] = (
     f"{_HULL} SELECT station, {rounded('x', 'lon', 9)}, {rounded('y', 'lat', 9)} FROM wrap WHERE k > 0"
@@ -389,10 +397,10 @@ ORACLE["hull_vertices"] = (
 _COVERED = """edges AS (
   SELECT a.station, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS "by" FROM wrap a JOIN wrap b ON a.station = b.station AND b.k = a.k + 1),
 covered AS (
-  SELECT p.id, e.station FROM scattered p JOIN edges e ON e.station IN ('click', 'view')
+  SELECT p.id, e.station FROM scattered p CROSS JOIN edges e
   GROUP BY p.id, e.station HAVING min((bx - ax) * (lat - ay) - ("by" - ay) * (lon - ax)) >= 0)"""
 ORACLE["hull_union_parts"] = f"{_HULL}, {_COVERED} SELECT DISTINCT id AS rowid FROM covered"
-ORACLE["hull_intersection"] = f"{_HULL}, {_COVERED} SELECT id AS rowid FROM covered GROUP BY id HAVING count(*) = 2"
+ORACLE["hull_intersection"] = f"{_HULL}, {_COVERED} SELECT id AS rowid FROM covered GROUP BY id HAVING count(*) = (SELECT count(DISTINCT station) FROM scattered)"
 
 
 # ---------------------------------------------------------------- files and catalogs
@@ -453,3 +461,23 @@ ORACLE["stac_extent"] = (
     f"{rounded('min(lon)', 'minx', 9)}, {rounded('min(lat)', 'miny', 9)}, {rounded('max(lon)', 'maxx', 9)}, "
     f"{rounded('max(lat)', 'maxy', 9)} FROM points"
 )
+
+ORACLE["nodes_keep_first"] = (
+    "WITH numbered AS (SELECT c_custkey, 'M' || (c_custkey % 251) AS node_id, -9.4::double + ((c_custkey::bigint * 131) % 1009) / 1301.0::double AS lon, "
+    "42.1::double + ((c_custkey::bigint * 157) % 1013) / 1307.0::double AS lat FROM customer) "
+    f"SELECT node_id, {rounded('arg_min(lon, c_custkey)', 'lon', 9)}, {rounded('arg_min(lat, c_custkey)', 'lat', 9)} FROM numbered GROUP BY node_id"
+)
+ORACLE["links_table"] = ORACLE["link_within_radius"]
+ORACLE["agg_grid_repeated_nodes"] = ORACLE["agg_grid_exact"]
+ORACLE["wkb_decode_srid"] = (
+    f"WITH {POINTS} SELECT id AS rowid, {rounded('lon', 'lon', 9)}, {rounded('lat', 'lat', 9)}, {rounded('lon', 'native_lon', 9)}, "
+    f"{rounded('lat', 'native_lat', 9)} FROM points"
+)
+ORACLE["asset_time_range_mixed"] = (
+    "WITH t AS (SELECT event_id % 3 AS k, CASE WHEN event_id % 3 = 2 THEN date_trunc('day', ts) ELSE ts END AS ts FROM events) "
+    f"SELECT 'part=' || k AS part, {_STAMP.format('min(ts)')} AS start, {_STAMP.format('max(ts)')} AS \"end\", count(*) AS row_count FROM t GROUP BY k"
+)
+# statistics carry the geometry of their node
+for _name in [n for n in ORACLE if n.startswith("agg_") and n != "agg_mad" and "node_id" in ORACLE[n]]:
+    ORACLE[_name] = located(ORACLE[_name])
+ORACLE["statistics_table"] = ORACLE["agg_grid_partitioned"]

@@ -92,10 +92,11 @@ def supplier_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customer_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customer_nodes(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """Manual nodes with repeated ids, several customers each."""
     n = F.col("c_custkey").cast("long")
     return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        *keep,
         F.concat(F.lit("M"), (n % 251).cast("string")).alias("node_id"),
         (F.lit(-9.4) + ((n * 131) % 1009) / F.lit(1301.0)).alias("lon"),
         (F.lit(42.1) + ((n * 157) % 1013) / F.lit(1307.0)).alias("lat"),

@@ -15,9 +15,10 @@ from gridstats.functions.utm import utm_forward, utm_inverse, utm_zone
 from gridstats.functions.wkb import decode_points, geometry_type, point_wkb, wkb_x, wkb_y
 from gridstats.operators import aggregate, clip, dedupe, extent, hull, link
 from gridstats.operators import grid as grids
+from gridstats.plans import tables as runs
 from gridstats.plans.pipeline import footprint_statistics
 from gridstats.plans.sizing import checkpoint_folder
-from gridstats.sources import files, finalise, geojson, stac
+from gridstats.sources import files, finalise, geojson, nodes, stac, tables
 from workload.points import (
     POINT_LAT,
     POINT_LON,
@@ -44,7 +45,7 @@ def query(function: Query) -> Query:
 
 
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Rounded doubles, no negative zero, dates as text and no binary columns, for comparison across engines."""
+    """Rounded doubles, no negative zero, dates as text and point geometry as coordinates, for comparison across engines."""
     columns = []
     for name, kind in df.dtypes:
         value = F.col(f"`{name}`")
@@ -55,7 +56,8 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
         elif kind == "int":
             columns.append(value.cast("long").alias(name))
         elif kind == "binary":
-            continue
+            sides = zip(("lon", "lat"), (wkb_x(value), wkb_y(value)), strict=True)
+            columns += [(F.round(side, digits) + F.lit(0.0)).alias(f"{name}_{axis}") for axis, side in sides]
         else:
             columns.append(value)
     return df.select(*columns)
@@ -277,7 +279,7 @@ def grid_with_manual_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def grid_manual_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = grids.make_grid(spark, manual=customer_nodes(spark, sf_dir))
-    return tidy(decode_points(made), 9)
+    return tidy(decode_points(made).drop("geometry"), 9)
 
 
 @query
@@ -301,6 +303,15 @@ def first_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(dedupe.dedupe_first(rows, ["user_id"], ["event_id"]))
 
 
+@query
+def nodes_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A node file with repeated ids, written in the order of the customers and read back."""
+    path = f"{scratch(spark)}/nodes"
+    rows = customer_nodes(spark, sf_dir, "c_custkey").orderBy("c_custkey").coalesce(1)
+    rows.select("node_id", F.col("lon").alias("longitude"), F.col("lat").alias("latitude")).write.option("header", True).csv(path)
+    return tidy(decode_points(grids.make_grid(spark, manual=nodes.read_nodes_csv(spark, path))).drop("geometry"), 9)
+
+
 # ---------------------------------------------------------------- footprints
 
 
@@ -308,10 +319,6 @@ def _station_hulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hull.convex_hull(scattered(spark, sf_dir), ["station"])
 
 
-def _two_hulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _station_hulls(spark, sf_dir).where(F.col("station").isin("click", "view"))
-
-
 @query
 def hull_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     hulls = _station_hulls(spark, sf_dir)
@@ -322,21 +329,21 @@ def hull_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def hull_union_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Points covered by either of two hulls."""
-    shape = hull.combine_hulls(_two_hulls(spark, sf_dir), "union")
+    """Points covered by any of the hulls of all stations."""
+    shape = hull.combine_hulls(_station_hulls(spark, sf_dir), "union")
     return clip.points_in_polygons(scattered(spark, sf_dir), shape).select("rowid")
 
 
 @query
 def hull_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Points covered by the common part of two hulls."""
-    shape = hull.combine_hulls(_two_hulls(spark, sf_dir), "intersection")
+    """Points covered by the common part of the hulls of all stations."""
+    shape = hull.combine_hulls(_station_hulls(spark, sf_dir), "intersection")
     return clip.points_in_polygons(scattered(spark, sf_dir), shape).select("rowid")
 
 
 @query
 def hull_intersection_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shape = hull.combine_hulls(_two_hulls(spark, sf_dir), "intersection")
+    shape = hull.combine_hulls(_station_hulls(spark, sf_dir), "intersection")
     corners = shape.select(F.posexplode(F.col("rings")[0]).alias("position", "v"))
     return tidy(corners.select("position", F.col("v.x").alias("lon"), F.col("v.y").alias("lat")), 9)
 
@@ -350,7 +357,7 @@ def points_in_triangle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def footprint_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The combined footprint as a GeoJSON document."""
-    return geojson.geojson_document(hull.combine_hulls(_two_hulls(spark, sf_dir), "union"))
+    return geojson.geojson_document(hull.combine_hulls(_station_hulls(spark, sf_dir), "union"))
 
 
 @query
@@ -360,6 +367,51 @@ def footprint_to_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(footprint_statistics(here, ["station"], "speed,temp", spacing_km=10.0, prefix="F"))
 
 
+# ---------------------------------------------------------------- tables
+
+
+def _tables(spark: SparkSession, sf_dir: str, partitions: tuple[str, ...] = ("station",)) -> tuple[str, str, str]:
+    """(scratch folder, point table, grid table) with names of their own."""
+    base = scratch(spark)
+    mark = uuid.uuid4().hex[:12]
+    data, nodes_table = f"points_{mark}", f"grid_{mark}"
+    tables.write_table(wkb_points(spark, sf_dir), data, f"{base}/points", partitions)
+    tables.write_grid(grid(spark), nodes_table, f"{base}/grid")
+    return base, data, nodes_table
+
+
+@query
+def links_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links from tables to a table."""
+    base, data, nodes_table = _tables(spark, sf_dir)
+    return runs.link_tables(spark, data, nodes_table, f"{data}_links", f"{base}/links")
+
+
+@query
+def statistics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitioned statistics from tables to a table, which is consolidated and read again."""
+    base, data, nodes_table = _tables(spark, sf_dir)
+    made = runs.statistics_tables(spark, data, None, nodes_table, f"{data}_stats", f"{base}/stats", ["speed", "temp"], partition_by=["station"])
+    made.limit(1).collect()
+    return tidy(runs.finalise_table(spark, f"{data}_stats", f"{base}/final"))
+
+
+@query
+def agg_grid_repeated_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A grid whose rows occur twice counts as if they occurred once."""
+    return tidy(aggregate.aggregate_grid(points(spark, sf_dir), None, grid(spark).union(grid(spark)), "speed,temp"))
+
+
+@query
+def wkb_decode_srid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points that carry an SRID, by both decoders."""
+    digits = F.hex("geometry")
+    tagged = F.unhex(F.concat(F.lit("0101000020E6100000"), F.substring(digits, 11, 32)))
+    rows = wkb_points(spark, sf_dir).select("rowid", tagged.alias("geometry"))
+    both = decode_points(rows).select("rowid", "lon", "lat", wkb_x("geometry").alias("native_lon"), wkb_y("geometry").alias("native_lat"))
+    return tidy(both, 9)
+
+
 # ---------------------------------------------------------------- files and catalogs
 
 
@@ -414,6 +466,20 @@ def asset_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranges.select("station", rfc3339(F.col("start_time")).alias("start"), rfc3339(F.col("end_time")).alias("end"))
 
 
+@query
+def asset_time_range_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one dataset with times under different names and types."""
+    base = scratch(spark)
+    rows = events(spark, sf_dir)
+    n, stamp = F.col("event_id") % 3, F.col("ts")
+    forms = (stamp.alias("timestamp"), rfc3339(utc_time(stamp, rows.schema["ts"].dataType)).alias("time"), stamp.cast("date").alias("date"))
+    for k, form in enumerate(forms):
+        rows.where(n == k).select("event_id", form).coalesce(1).write.parquet(f"{base}/data/part={k}")
+    found = stac.read_assets(spark, f"{base}/data")
+    ends = [rfc3339(F.col(c)).alias(c.removesuffix("_time")) for c in ("start_time", "end_time")]
+    return found.select(F.element_at("partitions", 1).alias("part"), *ends, "row_count")
+
+
 @query
 def iso_text_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Times in the accepted text forms, and one that is not accepted."""
