@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from gridstats.llm.components import components
 from gridstats.llm.sketch import counted
 from gridstats.llm.text import WordHasher, mix64, shingle_sets
-from gridstats.plans.sizing import spill
+from gridstats.plans.sizing import broadcast_if_small, spill
 
 # log2 of the number of counters that order the shingles, and of those that preselect documents to verify
 COUNT_BITS = 20
@@ -82,41 +82,59 @@ def signatures(docs: DataFrame, width: int, percent: int, bits: int) -> DataFram
 
 
 def overlapping(docs: DataFrame, pairs: DataFrame, width: int, percent: int, bits: int) -> DataFrame:
-    """The pairs (u, v) that link, from the whole sets of both texts."""
+    """The pairs (u, v) that link, from the whole sets of both texts.
+
+    Both sets of a pair travel once, to where the pair is. A doc_id that stands for several texts links by any of them.
+    """
     spark = docs.sparkSession
-    wanted = pairs.select(F.col("u").alias("id")).union(pairs.select("v"))
+    sides = pairs.select(F.col("u").alias("id"), "u", "v", F.lit(0).alias("side")).union(pairs.select(F.col("v").alias("id"), "u", "v", F.lit(1)))
 
     def ids(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield mix64(batch.column(0).to_numpy().view(np.uint64))
 
-    # A fixed-size filter spares most documents the hashing and the exchange; the joins below decide.
-    passing = spark.sparkContext.broadcast(counted(wanted, ids, bits) > 0)
+    # A fixed-size filter spares most documents the hashing; the join below decides.
+    passing = spark.sparkContext.broadcast(counted(sides.select("id"), ids, bits) > 0)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch in batches:
-            keys = batch.column(0).fill_null(0).to_numpy().view(np.uint64)
+            keys = batch.column(0).to_numpy().view(np.uint64)
             batch = batch.filter(pa.array(passing.value[(mix64(keys) >> np.uint64(64 - bits)).astype(np.int64)]))
             for row, own in shingle_sets(batch.column(1), width, hasher):
                 yield pa.record_batch({"id": batch.column(0).slice(row, 1), "tokens": pa.array([own.tobytes()], pa.binary())})
 
-    schema = "id long, tokens binary"
-    own = spill(docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(sets, schema))
-
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair, met = None, (set(), set())
+
+        def linked() -> bool:
+            return any(links(x, y, percent) for x in met[0] for y in met[1])
+
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            for row, (a, b) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (a, b))
-                x, y = (x, y) if len(x) <= len(y) else (y, x)
-                found = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
-                shared = int(found.sum())
-                keep[row] = 100 * shared >= percent * (len(x) + len(y) - shared)
-            yield batch.filter(pa.array(keep)).select(["u", "v"])
+            found = []
+            for u, v, side, tokens in zip(*[batch.column(i).to_pylist() for i in range(3)], batch.column(3), strict=True):
+                if (u, v) != pair:
+                    if pair and linked():
+                        found.append(pair)
+                    pair, met = (u, v), (set(), set())
+                met[side].add(tokens.as_py())
+            yield as_pairs(found)
+        if pair and linked():
+            yield as_pairs([pair])
 
-    both = pairs.join(own.select(F.col("id").alias("u"), F.col("tokens").alias("a")), "u")
-    both = both.join(own.select(F.col("id").alias("v"), F.col("tokens").alias("b")), "v").select("u", "v", "a", "b")
-    return spill(both.mapInArrow(probe, "u long, v long").distinct())
+    own = docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(sets, "id long, tokens binary")
+    both = own.join(broadcast_if_small(sides), "id").select("u", "v", "side", "tokens").repartition("u", "v").sortWithinPartitions("u", "v")
+    return spill(both.mapInArrow(probe, "u long, v long"))
+
+
+def as_pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.record_batch({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
+
+
+def links(a: bytes, b: bytes, percent: int) -> bool:
+    """Whether two sets link: the shingles of the smaller are probed in the larger by binary search."""
+    x, y = sorted((np.frombuffer(z, np.uint64) for z in (a, b)), key=len)
+    shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
 
 
 def possible(a: str, b: str, percent: int) -> Column:
@@ -157,9 +175,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, bits:
     star = lists.where("id <> first.id").select("*", F.col("first.n").alias("fn"), F.col("first.pos").alias("fpos"))
     star = star.where(possible("", "f", percent)).select(F.least("id", "first.id").alias("u"), F.greatest("id", "first.id").alias("v"))
     star = spill(star.distinct())
-    links = overlapping(docs, star, width, percent, bits)
-
-    part = components(links)
+    part = components(overlapping(docs, star, width, percent, bits))
     rows = lists.join(part.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     rows = spill(rows.select("token", "id", "n", "pos", "component", "salts"))
     mixed = rows.groupBy("token").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("salts").alias("salts"))
