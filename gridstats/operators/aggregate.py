@@ -74,9 +74,8 @@ def _in_windows(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], me
 def _in_pieces(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], median: str) -> DataFrame:
     """The same for hot groups, by map-side-combined aggregates only.
 
-    The rows of these groups are written once, because several passes read them.
     """
-    rows = spill(rows.select(*_quoted(keys), *_quoted(columns)))
+    rows = rows.select(*_quoted(dict.fromkeys([*keys, *columns])))
     moments = rows.groupBy(*_quoted(keys)).agg(F.count("*").alias("n"), *[m for c in columns for m in _moments(c)])
     if not columns:
         return _layout(moments, keys, columns)
@@ -105,7 +104,11 @@ def group_stats(
     """
     keys, columns = list(keys), list(columns)
     median_column("x", median)  # refuses an unknown kind early
-    hot = None if hot_rows is None else hot_keys(rows, keys, hot_rows, rows_bound)
+    hot = None
+    if hot_rows is not None and (rows_bound is None or rows_bound > hot_rows):
+        # counting, both parts and their passes read the written rows: what makes them, a spatial join, runs once
+        rows = spill(rows.select(*_quoted(dict.fromkeys([*keys, *columns]))))
+        hot = hot_keys(rows, keys, hot_rows)
     if hot is None:
         return _in_windows(rows, keys, columns, median)
     ordinary, large = split_hot(rows, hot, keys)
