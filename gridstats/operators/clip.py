@@ -1,7 +1,7 @@
-"""Points covered by polygons, as an equi join on latitude bands.
+"""Points covered by polygons, as an equi join on cells of latitude bands.
 
-A point lies in one band. A polygon part is repeated for the bands it meets, each time with only the
-edges that reach into that band; those are all the edges the covers test needs there.
+A point lies in one cell of one band. A polygon part is repeated for the cells it meets, each time with only the
+edges that reach into the band; those are all the edges the covers test needs there.
 """
 
 from __future__ import annotations
@@ -14,10 +14,12 @@ from gridstats.functions.wkb import decode_points
 from gridstats.plans.sizing import broadcast_if_small
 
 BAND_DEGREES = 0.25
+# Width of a cell of a band. A part is repeated for each cell it meets, so that points of one band are spread.
+CELL_DEGREES = 1.0
 
 
 def polygon_bands(polygons: DataFrame, band: float = BAND_DEGREES) -> DataFrame:
-    """``_band, _minx, _maxx, _edges`` per part and band."""
+    """``_band, _cell, _minx, _maxx, _edges`` per part, band and cell of the band."""
     bounds = ring_bounds(F.col("rings"))
     parts = polygons.select(
         ring_edges(F.col("rings")).alias("_all"), *[bounds[k].alias(f"_{k}") for k in ("minx", "maxx", "miny", "maxy")]
@@ -31,17 +33,18 @@ def polygon_bands(polygons: DataFrame, band: float = BAND_DEGREES) -> DataFrame:
         "_all",
         lambda e: (F.least(e["y1"], e["y2"]) <= high + slack) & (F.greatest(e["y1"], e["y2"]) >= low - slack),
     )
-    return bands.select("_band", "_minx", "_maxx", reach.alias("_edges"))
+    cells = F.sequence(F.floor(F.col("_minx") / CELL_DEGREES), F.floor(F.col("_maxx") / CELL_DEGREES))
+    return bands.select("_band", F.explode(cells).alias("_cell"), "_minx", "_maxx", reach.alias("_edges"))
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, band: float = BAND_DEGREES) -> DataFrame:
     """Rows of ``points`` that any polygon part covers (boundary included)."""
     had = set(points.columns)
-    located = decode_points(points).withColumn("_band", F.floor(F.col("lat") / band))
-    bands = polygon_bands(polygons, band).withColumnRenamed("_band", "_part_band")
+    located = decode_points(points).withColumns({"_band": F.floor(F.col("lat") / band), "_cell": F.floor(F.col("lon") / CELL_DEGREES)})
+    bands = polygon_bands(polygons, band).withColumnsRenamed({"_band": "_part_band", "_cell": "_part_cell"})
     x, y = F.col("lon"), F.col("lat")
     inside = x.between(F.col("_minx"), F.col("_maxx")) & covers_by_edges(F.col("_edges"), x, y)
-    on = (F.col("_band") == F.col("_part_band")) & inside
+    on = (F.col("_band") == F.col("_part_band")) & (F.col("_cell") == F.col("_part_cell")) & inside
     return located.join(broadcast_if_small(bands), on, "left_semi").drop(
-        "_band", *[c for c in ("lon", "lat") if c not in had]
+        "_band", "_cell", *[c for c in ("lon", "lat") if c not in had]
     )
