@@ -35,6 +35,23 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+# All pairs that share a shingle, and the closure of the links by repeated minima.
+ORACLE["op1_ngram_jaccard_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])
+  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g FROM d),
+u AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+e AS (SELECT x, y FROM p UNION ALL SELECT y, x FROM p),
+r AS (SELECT DISTINCT x AS node, x AS reached FROM e UNION SELECT r.node, e.y FROM r JOIN e ON r.reached = e.x),
+c AS (SELECT node, min(reached) AS component FROM r GROUP BY node)
+SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, coalesce(c.component, s.doc_id) AS component_id FROM s LEFT JOIN c ON c.node = s.doc_id
+"""
+
+
 @query
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
