@@ -159,16 +159,24 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, bits:
     known = sets.where("doc_id is not null and n > 0")
     nodes = known.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("id"))
     nodes = spill(nodes)
+    # copies go by a list of them, usually short, so that the token arrays need no exchange
+    copies = known.select("doc_id", "n", "d1", "d2").join(nodes, ["n", "d1", "d2"]).where("doc_id <> id").select("doc_id", "d1", "d2").distinct()
     lists = (
-        known.join(nodes.select(F.col("id").alias("doc_id"), "n", "d1", "d2"), ["doc_id", "n", "d1", "d2"], "left_semi")
-        .dropDuplicates(["doc_id", "d1", "d2"])
+        known.join(broadcast_if_small(copies), ["doc_id", "d1", "d2"], "left_anti")
         .select("doc_id", "n", F.posexplode(F.arrays_zip("token", "salts")).alias("pos", "x"))
         .select(F.col("doc_id").alias("id"), "n", "pos", "x.token", F.pmod(F.xxhash64("doc_id"), F.col("x.salts")).alias("salt"), "x.salts")
     )
     by_place = Window.partitionBy("token", "salt").orderBy("pos", "n", "id")
     lists = lists.withColumns(
-        {"first": F.first(F.struct("id", "n", "pos")).over(by_place), "place": F.row_number().over(by_place), "next": F.lead("id").over(by_place)}
+        {
+            "first": F.first(F.struct("id", "n", "pos")).over(by_place),
+            "last": F.lag("id").over(by_place),
+            "next": F.lead("id").over(by_place),
+            "place": F.row_number().over(by_place),
+        }
     )
+    # rows that repeat a document stand beside each other
+    lists = lists.where("last is null or last <> id").drop("last")
     # single rows of a salted list stay: its other salts may have rows
     lists = spill(lists.where("place > 1 or next is not null or salts > 1").drop("place", "next"))
 
