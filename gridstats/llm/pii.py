@@ -1,7 +1,8 @@
 """Format-preserving pseudonyms for personal data in texts, by a keyed Feistel permutation.
 
 Found and validated: e-mail addresses, IPv4 addresses, North American telephone numbers, social security numbers,
-payment card numbers (check digit) and calendar dates. Each value is a number below m0 * m1, split into two halves that
+payment card numbers (check digit) and calendar dates. Telephone numbers that no area could have are found too when
+a country code or brackets mark them, and are permuted among themselves. Each value is a number below m0 * m1, split into two halves that
 eight rounds add keyed hashes of each other to. That permutes the values of a kind among themselves: the format and
 validity stay, equal values become equal pseudonyms in all documents whatever their punctuation, different values stay
 different, and the key undoes it. What does not validate stays as it is.
@@ -12,6 +13,7 @@ Everything is column expressions over the row: no exchange, no Python.
 from __future__ import annotations
 
 import hashlib
+from calendar import monthrange
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +31,9 @@ CARD = r"(?<![A-Za-z0-9])\d(?:[ -]?\d){12,18}(?![A-Za-z0-9])"
 ANY = "|".join([EMAIL, IPV4, SSN, DATE, CARD, PHONE])
 FIRST_DAY = "1900-01-01"
 DAYS = (200, 365)  # dates of the first 73,000 days from FIRST_DAY on are permuted among themselves
+# Dates with the day first, which only a day above 12 tells: the places of a year, and the leap days from 1904 to 2096.
+FIRST_YEAR, YEARS, LEAPS = 1900, 200, (7, 7)
+LATE_DAYS = tuple(f"{day:02d}/{month:02d}" for month in range(1, 13) for day in range(13, monthrange(2023, month)[1] + 1))
 
 
 def secret_of(key: str) -> str:
@@ -139,14 +144,20 @@ def ipv4(m: Column, secret: str, undo: bool) -> Column:
 
 def phone(m: Column, secret: str, undo: bool) -> Column:
     def change(d: Column) -> Column:
-        area, exchange, size = whole(d, 1, 3), whole(d, 4, 3), F.lit(80_000).cast("long")
-        halves = feistel((area - 200) * 100 + whole(d, 7, 2), (exchange - 200) * 100 + whole(d, 9, 2), size, size, F.lit("phone"), secret, undo)
+        area, exchange = whole(d, 1, 3), whole(d, 4, 3)
+        # codes below 200 are permuted among themselves, each half with those of its own kind
+        least = lambda code: F.when(code < 200, 0).otherwise(200)
+        size = lambda code: F.when(code < 200, 20_000).otherwise(80_000).cast("long")
+        kind = F.when((area >= 200) & (exchange >= 200), "phone").otherwise(F.concat_ws(":", F.lit("phone"), least(area).cast("string"), least(exchange).cast("string")))
+        halves = feistel((area - least(area)) * 100 + whole(d, 7, 2), (exchange - least(exchange)) * 100 + whole(d, 9, 2), size(area), size(exchange), kind, secret, undo)
         text = lambda v, tail: F.lpad(v.cast("string"), 3 if not tail else 2, "0")
         number = lambda h: F.concat(
-            text(F.floor(h["l"] / 100) + 200, False), text(F.floor(h["r"] / 100) + 200, False), text(F.pmod(h["l"], F.lit(100)), True), text(F.pmod(h["r"], F.lit(100)), True)
+            text(F.floor(h["l"] / 100) + least(area), False), text(F.floor(h["r"] / 100) + least(exchange), False), text(F.pmod(h["l"], F.lit(100)), True), text(F.pmod(h["r"], F.lit(100)), True)
         )
         country = F.when(F.length(only(m, "0-9")) == 11, F.lit("1")).otherwise("")
-        return F.when((area >= 200) & (exchange >= 200), let(let(halves, number), lambda x: filled(m, F.concat(country, x))))
+        # ten bare digits that begin below 200 are no telephone number
+        marked = m.contains("(") | (F.length(only(m, "0-9")) == 11)
+        return F.when((area >= 200) | marked, let(let(halves, number), lambda x: filled(m, F.concat(country, x))))
 
     return let(F.substring(only(m, "0-9"), -10, 10), change)
 
@@ -177,7 +188,26 @@ def date(m: Column, secret: str, undo: bool) -> Column:
         named = lambda d: F.when(m.contains("."), F.date_format(d, "dd.MM.yyyy")).when(m.rlike("^[0-9]{4}-"), F.date_format(d, "yyyy-MM-dd")).when(m.rlike("^[0-9]{4}/"), F.date_format(d, "yyyy/MM/dd")).otherwise(F.date_format(d, "MM/dd/yyyy"))
         return F.when((day >= 0) & (day < DAYS[0] * DAYS[1]), let(new, named))
 
-    return let(F.datediff(F.try_to_timestamp(m, order).cast("date"), first), change)
+    month_first = let(F.datediff(F.try_to_timestamp(m, order).cast("date"), first), change)
+    return F.when(m.rlike(r"^(1[3-9]|[23]\d)/"), day_first(m, secret, undo)).otherwise(month_first)
+
+
+def day_first(m: Column, secret: str, undo: bool) -> Column:
+    """A slashed date whose first number is above 12, permuted among such dates."""
+    places = F.array(*[F.lit(d) for d in LATE_DAYS])
+    size = lambda n: F.lit(n).cast("long")
+
+    def change(year: Column) -> Column:
+        own = F.array_position(places, F.substring(m, 1, 5)) - 1
+        halves = feistel(year - FIRST_YEAR, own, size(YEARS), size(len(LATE_DAYS)), F.lit("date:day"), secret, undo)
+        usual = let(halves, lambda h: F.concat_ws("/", F.get(places, h["r"].cast("int")), (h["l"] + FIRST_YEAR).cast("string")))
+        leap = F.floor((year - 1904) / 4)
+        halves = feistel(F.floor(leap / LEAPS[1]), F.pmod(leap, F.lit(LEAPS[1])), size(LEAPS[0]), size(LEAPS[1]), F.lit("date:leap"), secret, undo)
+        leap_day = let(halves, lambda h: F.concat(F.lit("29/02/"), (1904 + 4 * (h["l"] * LEAPS[1] + h["r"])).cast("string")))
+        known = (year >= FIRST_YEAR) & (year < FIRST_YEAR + YEARS)
+        return F.when(known & (own >= 0), usual).when(known & m.startswith("29/02/") & F.try_to_timestamp(m, F.lit("dd/MM/yyyy")).isNotNull(), leap_day)
+
+    return let(whole(m, 7, 4), change)
 
 
 def card(m: Column, secret: str, undo: bool) -> Column:
@@ -205,11 +235,12 @@ def pseudonym(m: Column, secret: str, undo: bool = False) -> Column:
     )
 
 
-def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | None = None, undo: bool = False) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | None = None, undo: bool = False, left: str | None = None) -> DataFrame:
     """``docs`` with the personal data of ``text`` replaced; ``count`` names a column for the number of replaced values.
 
-    A null text stays null with count 0. Dates outside of 1900-01-01 to 2099-11-12 and values that do not validate stay.
-    ``undo`` with the same key gives the texts back. Columns keep their order; a column named as ``count`` is replaced.
+    A null text stays null with count 0. Dates outside of 1900-01-01 to 2099-11-12 (day first: to 2099-12-31) and values
+    that do not validate stay; ``left`` names a column for the list of those found and left. ``undo`` with the same key
+    gives the texts back. Columns keep their order; columns named as ``count`` or ``left`` are replaced.
     """
     secret = secret_of(key)
     found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
@@ -217,11 +248,13 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | Non
     def rebuilt(new: Column, old: Column) -> Column:
         pieces = F.split(F.col(text), ANY)
         joined = F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(new, i), F.get(old, i), F.lit("")))), "")
-        return F.struct(joined.alias("t"), F.size(F.filter(new, lambda x: x.isNotNull())).alias("n"))
+        values = [joined.alias("t"), F.size(F.filter(new, lambda x: x.isNotNull())).alias("n")]
+        return F.struct(*values, *([F.filter(old, lambda x, i: F.get(new, i).isNull()).alias("s")] if left else []))
 
     replaced = let(found, lambda old: let(F.transform(old, lambda m: pseudonym(m, secret, undo)), lambda new: rebuilt(new, old)))
-    done = F.when(F.col(text).rlike("[0-9@]"), replaced).otherwise(F.struct(F.col(text).alias("t"), F.lit(0).alias("n")))
+    done = F.when(F.col(text).rlike("[0-9@]"), replaced).otherwise(F.struct(F.col(text).alias("t"), F.lit(0).alias("n"), *([F.array().cast("array<string>").alias("s")] if left else [])))
     place = unused(docs, "done")
     result = docs.withColumn(place, done)
-    columns = [F.col(f"{place}.t").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c != count]
-    return result.select(*columns, *([F.col(f"{place}.n").alias(count)] if count else []))
+    columns = [F.col(f"{place}.t").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c not in (count, left)]
+    added = [F.col(f"{place}.{field}").alias(c) for field, c in (("n", count), ("s", left)) if c]
+    return result.select(*columns, *added)

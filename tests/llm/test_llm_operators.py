@@ -249,6 +249,23 @@ def test_pseudonyms_keep_format_links_and_can_be_undone(spark):
 
 
 def test_pseudonyms_are_a_permutation(spark):
+def test_pseudonyms_of_marked_numbers_and_dates_with_the_day_first(spark):
+    texts = ["tel +1 (017) 555-7713, (212) 155-1234 and +1 055.155.0000", "on 25/12/1985, 29/02/2000 and 12/25/1985, not 29/02/2021 or 13/13/2000 or 31/04/1999"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    done = pii.pseudonymise(df, "k", count="n", left="left")
+    rows = {r["doc_id"]: r for r in done.collect()}
+    assert [rows[i]["n"] for i in (0, 1)] == [3, 3] and rows[0]["left"] == [] and rows[1]["left"] == ["29/02/2021", "13/13/2000", "31/04/1999"]
+    assert re.match(r"tel \+1 \([01]\d\d\) [2-9]\d\d-\d{4}, \([2-9]\d\d\) [01]\d\d-\d{4} and \+1 [01]\d\d\.[01]\d\d\.\d{4}$", rows[0]["text"])
+    assert not any(x in rows[0]["text"] for x in ("555-7713", "155-1234", "155.0000"))
+    assert re.match(r"on (1[3-9]|[23]\d)/\d\d/\d{4}, 29/02/\d{4} and ", rows[1]["text"]) and "25/12/1985" not in rows[1]["text"]
+    assert {r["doc_id"]: r["text"] for r in pii.pseudonymise(done.drop("n", "left"), "k", undo=True).collect()} == dict(enumerate(texts))
+    days = spark.range(73049).select(F.date_format(F.date_add(F.lit("1900-01-01"), F.col("id").cast("int")), "dd/MM/yyyy").alias("text")).where("substring(text, 1, 2) > '12'")
+    new = pii.pseudonymise(days, "k", count="n")
+    assert new.where("n = 1").count() == days.count() and new.join(days, "text").distinct().count() == days.count()
+    numbers = spark.range(1000).select(F.format_string("(117) 155-%04d", "id").alias("text"))
+    assert pii.pseudonymise(numbers, "k").select("text").distinct().count() == 1000
+
+
     df = spark.range(1000).select("id", F.format_string("call 212-555-%04d", "id").alias("text"))
     assert pii.pseudonymise(df, "k").select("text").distinct().count() == 1000
 
