@@ -22,6 +22,7 @@ from gridstats.llm.text import column_bytes, slices
 
 BITS = 12  # log2 of the number of features
 SAMPLE = 600  # texts of a language that its centroids are clustered from; counts cover all texts
+SPARE = 50  # further texts drawn beyond twice the sample, so that even a sample of one is found
 CENTROIDS = 4  # of a language
 ROUNDS = 12
 OWN_SHARE = 0.995  # share of a centroid's own texts that its radius holds
@@ -122,14 +123,16 @@ def clustered(points: np.ndarray, many: int) -> tuple[np.ndarray, np.ndarray]:
 
 def train(labelled: DataFrame, sample: int = SAMPLE, many: int = CENTROIDS) -> LanguageModel:
     """The model of ``labelled(text, lang)``. Feature weights come from all rows with a lang and a letter; each language's
-    centroids from ``sample`` of its texts, those with the smallest hash. Without such rows the model is empty."""
+    centroids from ``sample`` of its different texts, those with the smallest hash. Without such rows the model is empty."""
     labelled = labelled.where("lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}"))
     weights = weights_of(labelled)
     spark = labelled.sparkSession
     shared = spark.sparkContext.broadcast(weights)
-    chance = labelled.groupBy("lang").agg(F.least(F.lit(1.0), 2.0 * sample / F.count("*")).alias("share"))
+    hashed = labelled.select("lang", "text", F.xxhash64("text", F.lit(7)).alias("h"))
+    # copies share a hash, so the share is one of different texts
+    chance = hashed.select("lang", "h").distinct().groupBy("lang").agg(F.least(F.lit(1.0), (2.0 * sample + SPARE) / F.count("*")).alias("share"))
     # twice the wanted share is left by its hash before any row is ranked, so that no language fills a task
-    drawn = labelled.select("lang", "text", F.xxhash64("text", F.lit(7)).alias("h")).join(F.broadcast(chance), "lang")
+    drawn = hashed.join(F.broadcast(chance), "lang")
     drawn = drawn.where((F.col("h") / 2.0**64 + 0.5 < F.col("share")) | (F.col("share") >= 1)).dropDuplicates(["lang", "h"])
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     drawn = drawn.withColumn("r", first).where(F.col("r") <= sample).select("lang", "text")

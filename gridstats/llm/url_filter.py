@@ -13,14 +13,15 @@ from dataclasses import dataclass
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridstats.functions.binding import let
 from gridstats.llm.columns import unused
 from gridstats.plans.sizing import broadcast_if_small, spill
 
-SAMPLE = 50_000  # URLs of each verdict that the trees are fitted to; suffix statistics cover all
+SAMPLE = 50_000  # different URLs of each verdict that the trees are fitted to; suffix statistics cover all
+SPARE = 50  # further URLs drawn beyond twice the sample, so that even a sample of one is found
 TREES, DEPTH = 20, 4
 PRIOR = 10.0  # URLs of even odds added to the count of each host suffix
 FEATURES = (
@@ -104,23 +105,25 @@ def with_suffixes(rows: DataFrame, suffixes: DataFrame | None) -> DataFrame:
 
 
 def train(pages: DataFrame, rules: Sequence[Rule], url: str = "url") -> UrlModel:
-    """Trees from the URLs that a rule decides: up to ``SAMPLE`` of each verdict, those with the smallest hash.
+    """Trees from the URLs that a rule decides: up to ``SAMPLE`` different ones of each verdict, those with the smallest hash.
 
     Without URLs of both verdicts there are no trees, and what no rule covers is allowed.
     """
     rows = described(pages.select(url), url, rules).where("_given is not null").withColumn("label", (F.col("_given") == "block").cast("double"))
-    found = dict(map(tuple, rows.groupBy("label").count().collect()))
+    rows = rows.withColumn("h", F.xxhash64("_url", F.lit(3)))
+    # copies share a hash, so the share is one of different URLs
+    found = dict(map(tuple, rows.select("label", "h").distinct().groupBy("label").count().collect()))
     if len(found) < 2:
         return UrlModel(None, None)
     own = rows.select("label", F.explode(F.array_distinct(F.array("s1", "s2"))).alias("suffix"))
     suffixes = own.groupBy("suffix").agg(((F.sum("label") + PRIOR / 2) / (F.count("*") + PRIOR)).alias("share"))
     suffixes = spill(suffixes)
-    share = F.when(F.col("label") == 1, SAMPLE / found[1.0]).otherwise(SAMPLE / found[0.0])
-    drawn = rows.where(F.xxhash64("_url", F.lit(3)) / 2.0**64 + 0.5 < share)
+    share = F.when(F.col("label") == 1, (2 * SAMPLE + SPARE) / found[1.0]).otherwise((2 * SAMPLE + SPARE) / found[0.0])
+    drawn = rows.where((F.col("h") / 2.0**64 + 0.5 < share) | (share >= 1)).dropDuplicates(["label", "h"])
+    first = F.row_number().over(Window.partitionBy("label").orderBy("h"))
+    drawn = drawn.withColumn("r", first).where(F.col("r") <= SAMPLE)
     drawn = with_suffixes(drawn, suffixes).select("label", *[f"f_{n}" for n in FEATURES])
     drawn = spill(VectorAssembler(inputCols=[f"f_{n}" for n in FEATURES], outputCol="features").transform(drawn).select("label", "features"))
-    if drawn.select("label").distinct().count() < 2:
-        return UrlModel(None, suffixes)
     return UrlModel(GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=1).fit(drawn), suffixes)
 
 

@@ -365,6 +365,16 @@ def test_language_on_awkward_rows(spark):
 
 
 # ---------------------------------------------------------------- 9: shards
+def test_language_with_many_copies_keeps_its_sample(spark, monkeypatch):
+    texts = [(f"uno dos tres palabra{i} {'abcdefghij'[i % 10] * 3}", "es") for i in range(30)] + [("otra cosa igual", "es")] * 3000
+    texts += [("same english text", "en")] * 3000 + [("a second english text", "en")]
+    given = language.clustered
+    monkeypatch.setattr(language, "clustered", lambda points, many: given(points, len(points)))  # a centroid for each text
+    df = spark.createDataFrame(texts, "text string, lang string").repartition(3)
+    learned = Counter(language.train(df, sample=20).languages)
+    assert learned == {"es": 20, "en": 2}
+
+
 
 
 def shard_rows(df, shards, **more):
@@ -435,3 +445,12 @@ def test_url_rules_and_trees(spark):
     untrained = url_filter.train(pages.where("url is null"), URL_RULES)
     assert {r["verdict"] for r in url_filter.judge(pages.where("url is null"), untrained, URL_RULES).collect()} == {"allow"}
     assert url_filter.judge(pages.limit(0), model, URL_RULES).count() == 0
+
+
+def test_url_sample_is_of_different_urls(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "SAMPLE", 8)
+    fitted, given = [], url_filter.GBTClassifier.fit
+    monkeypatch.setattr(url_filter.GBTClassifier, "fit", lambda self, rows: fitted.append(rows.collect()) or given(self, rows))
+    urls = [("http://example.org/es/same",)] * 5000 + [(f"http://example.org/es/{i}",) for i in range(3)] + [(f"http://x.org/{i}",) for i in range(100)]
+    model = url_filter.train(spark.createDataFrame(urls, "url string").repartition(3), URL_RULES)
+    assert model.trees is not None and Counter(r["label"] for r in fitted[0]) == {1.0: 4, 0.0: 8}
