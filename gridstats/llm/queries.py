@@ -102,11 +102,9 @@ def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", size_of(F.col("text")).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("group")
-    )
-    done = shard(docs, 16, F.col("group"), F.col("size"))
-    return done.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    done = shard(table(spark, sf_dir, "documents"), 16, F.xxhash64(text), size_of(F.col("text")))
+    digest = F.crc32(text.cast("binary")).alias("text_crc32")
+    return done.select("doc_id", size_of(F.col("text")).alias("size"), digest, F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 @query

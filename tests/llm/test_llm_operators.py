@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -12,7 +13,7 @@ from awkward import LONG, PLAIN, awkward_docs, empty_docs
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gridstats.llm import bpe, decontaminate, language, licenses, ngram_join, pii, sharding, toxicity, url_filter, vectors
+from gridstats.llm import bpe, decontaminate, language, licenses, ngram_join, pii, queries, sharding, toxicity, url_filter, vectors
 from gridstats.llm.queries import QUERIES, URL_RULES
 
 WORDS = re.compile(r"[^\x20\x09-\x0d]+")
@@ -410,6 +411,16 @@ def test_shards_of_awkward_rows(spark):
     assert sorted(Counter(r["shard"] for r in shard_rows(same, 16)).values()) == [4] * 16
 
 
+def test_shards_query_derives_its_digests_from_sharded_texts(spark, sf_dir, monkeypatch):
+    given, seen = sharding.shard, []
+    monkeypatch.setattr(queries, "shard", lambda docs, *args: seen.append((docs.columns, given(docs, *args))) or seen[-1][1].withColumn("text", F.lit("abc")))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = QUERIES["op9_histogram_shards"](spark, sf_dir)
+    assert seen[0][0] == docs.columns
+    assert {(r["size"], r["text_crc32"]) for r in rows.collect()} == {(4, zlib.crc32(b"abc"))}
+    assert seen[0][1].select(docs.columns).exceptAll(docs).count() == 0 and seen[0][1].count() == docs.count()
+
+
 # ---------------------------------------------------------------- 10: URLs
 
 
