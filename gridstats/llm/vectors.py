@@ -1,8 +1,11 @@
 """Near duplicates among embeddings: a forest of random-projection trees, compared within leaves.
 
-Each tree splits by the projection on a random direction at the middle of a bounded sample's projections; a vector
-within a margin of the split goes to both sides (spill overlap), so that close vectors rarely part. Every tree has its
-own directions; several trees find what one loses. Equal vectors are one with a weight before any tree is made.
+Each tree splits by the projection on a random direction, where the fewest pairs of a bounded sample are left to
+compare; a vector within a margin of the split goes to both sides (spill overlap), so that close vectors rarely part. The
+margin comes from the threshold: how far a pair at exactly that cosine lies apart in projection. Where the overlap takes
+most of a node, as in a group of mutually close vectors, the node stays a leaf and is compared whole. Every tree has its
+own directions; trees are added until pairs planted at the threshold are found. Equal vectors are one with a weight
+before any tree is made.
 
 Vectors that share a leaf are compared by exact cosine in double precision. A leaf is dealt out in blocks, and each pair
 of its blocks is one group, so a leaf of any size is worked on by many tasks and whole. No pair is returned: a group
@@ -24,10 +27,15 @@ from pyspark.sql import types as T
 from gridstats.llm.components import components, smallest
 from gridstats.plans.sizing import spill
 
-TREES = 8
+TREES = 8  # at least
+MOST_TREES = 64
+RECALL = 0.97  # of planted pairs at exactly the threshold; trees are added until it is reached
+PLANTED = 1000
 SAMPLE = 20_000  # vectors that the splits are fitted to; all vectors are routed
 LEAF = 400  # wanted vectors in a leaf
-MARGIN = 0.1  # standard deviations of the projections on each side of a split
+MARGIN = 0.35  # standard deviations of a threshold pair's projected distance, on each side of a split
+WORTH = 0.85  # a split is made if at most this share of the pairs is left to compare
+FEWEST = 8  # sampled vectors that a split can be judged by
 BLOCK = 512  # vectors of a leaf in one block
 
 
@@ -40,7 +48,8 @@ class Tree:
     margin: np.ndarray
 
 
-def grow(points: np.ndarray, depth: int, seed: int) -> Tree:
+def grow(points: np.ndarray, depth: int, seed: int, beside: float, few: float) -> Tree:
+    """A tree with ``beside`` as margin of all splits; nodes of at most ``few`` points are leaves."""
     rng = np.random.default_rng(seed)
     directions = rng.standard_normal((depth, points.shape[1]))
     directions /= np.linalg.norm(directions, axis=1, keepdims=True)
@@ -49,10 +58,18 @@ def grow(points: np.ndarray, depth: int, seed: int) -> Tree:
     for d in range(depth):
         below = {}
         for node, own in level.items():
+            n = len(own)
+            if n < FEWEST or n <= few:
+                continue
             along = points[own] @ directions[d]
-            if len(own) < 4 or along.min() == along.max():
+            ordered = np.sort(along)
+            at = ordered[np.linspace(0.1 * (n - 1), 0.9 * (n - 1), 33).astype(int)]
+            low, high = np.searchsorted(ordered, at + beside, "right") / n, 1 - np.searchsorted(ordered, at - beside, "right") / n
+            cost = low**2 + high**2
+            best = int(cost.argmin())
+            if cost[best] > WORTH:
                 continue
-            middle[node], margin[node] = np.median(along), MARGIN * along.std()
+            middle[node], margin[node] = at[best], beside
             below[2 * node + 1], below[2 * node + 2] = own[along <= middle[node]], own[along > middle[node]]
         level = below
     return Tree(directions, middle, margin)
@@ -76,6 +93,36 @@ def leaves(tree: Tree, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(done[0]), np.concatenate(done[1])
 
 
+def together(forest: list[Tree], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether each left vector and the right one of its row share a leaf of some tree."""
+    found = np.zeros(len(left), bool)
+    for tree in forest:
+        own, other = (set(zip(*map(np.ndarray.tolist, leaves(tree, side)), strict=True)) for side in (left, right))
+        found[[row for row, _ in own & other]] = True
+    return found
+
+
+def plant(points: np.ndarray, many: int, cosine: float, trees: int, seed: int) -> list[Tree]:
+    """The forest for ``many`` vectors of which ``points`` are a sample: ``trees`` and more until ``RECALL`` is reached."""
+    if not len(points):
+        return [Tree(np.zeros((0, points.shape[1])), np.full(1, np.nan), np.zeros(1))] * trees
+    width = points.shape[1]
+    beside = MARGIN * np.sqrt(max(0.0, 2 - 2 * cosine) / width)
+    depth = max(0, int(np.ceil(np.log2(max(1.0, many / LEAF)))))
+    few = LEAF * len(points) / many
+    rng = np.random.default_rng(seed)
+    own = points[rng.integers(len(points), size=PLANTED)]
+    across = rng.standard_normal(own.shape)
+    across -= (across * own).sum(axis=1, keepdims=True) * own
+    norm = np.linalg.norm(across, axis=1, keepdims=True)
+    partner = cosine * own + np.sqrt(max(0.0, 1 - cosine**2)) * np.divide(across, norm, out=np.zeros_like(across), where=norm > 0)
+    forest, open_pairs = [], np.ones(PLANTED, bool)
+    while len(forest) < trees or (open_pairs.mean() > 1 - RECALL and len(forest) < MOST_TREES):
+        forest.append(grow(points, depth, seed * 1000 + len(forest), beside, few))
+        open_pairs[open_pairs] = ~together(forest[-1:], own[open_pairs], partner[open_pairs])
+    return forest
+
+
 def matrix(column: pa.Array) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -95,7 +142,7 @@ def unit_vectors(vectors: DataFrame) -> DataFrame:
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.9, trees: int = TREES, seed: int = 1) -> DataFrame:
-    """vec_id, n_links, component_id, kept for each row of ``vectors(vec_id, embedding)``.
+    """vec_id, n_links, component_id, kept for each row of ``vectors(vec_id, embedding)``; ``trees`` is the least number.
 
     A vector that is null, empty, zero, or holds null or non-finite components links with nothing, as do vectors of
     different lengths with each other. Rows with equal vectors link with each other. Rows that repeat a vec_id with an
@@ -130,8 +177,9 @@ def linked(sets: DataFrame, many: int, width: int, cosine: float, trees: int, se
     share = min(1.0, SAMPLE / max(many, 1))
     drawn = sets.select("v", F.xxhash64("id", F.lit(seed)).alias("h")).where(F.col("h") / 2.0**64 + 0.5 <= share).orderBy("h").limit(SAMPLE)
     points = np.array([r[0] for r in drawn.select("v").collect()]).reshape(-1, width)
-    depth = max(0, int(np.ceil(np.log2(max(1.0, many / LEAF)))))
-    forest = spark.sparkContext.broadcast([grow(points, depth, seed * 1000 + t) for t in range(trees)])
+    planted = plant(points, many, cosine, trees, seed)
+    trees = len(planted)
+    forest = spark.sparkContext.broadcast(planted)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,14 +209,18 @@ def linked(sets: DataFrame, many: int, width: int, cosine: float, trees: int, se
         block = table["block"].to_numpy()
         left, right = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
         v, ids, weight = matrix(table["v"]), table["id"].to_numpy(), table["weight"].to_numpy()
-        earlier = [set(x) for x in table["earlier"].to_pylist()]
+        own = table["earlier"].combine_chunks()
+        row, leaf = np.repeat(np.arange(len(ids)), own.value_lengths().to_numpy()), own.flatten().to_numpy()
+        # leaves that came before this one and that both blocks are in
+        shared = np.intersect1d(leaf[np.isin(row, left)], leaf[np.isin(row, right)])
+        known = np.isin(leaf, shared)
+        earlier = np.zeros((len(ids), len(shared)), np.float32)
+        earlier[row[known], np.searchsorted(shared, leaf[known])] = 1
         similar = v[left] @ v[right].T
-        i, j = np.nonzero(similar >= cosine)
+        i, j = np.nonzero((similar >= cosine) & (earlier[left] @ earlier[right].T == 0))
         i, j = left[i], right[j]
         if key[1] == key[2]:
             i, j = i[i < j], j[i < j]
-        fresh = np.fromiter((earlier[x].isdisjoint(earlier[y]) for x, y in zip(i, j, strict=True)), bool, len(i))
-        i, j = i[fresh], j[fresh]
         partners = np.zeros(len(ids), np.int64)
         np.add.at(partners, i, weight[j])
         np.add.at(partners, j, weight[i])

@@ -146,6 +146,23 @@ def test_forest_finds_nearly_all_links(spark, monkeypatch):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) and r["component_id"] <= r["vec_id"] for r in found.values())
 
 
+@pytest.mark.parametrize("many", [10_000, 800_000, 5_000_000])
+def test_forest_keeps_a_dense_group_together_at_every_size(many):
+    rng = np.random.default_rng(5)
+    centre = unit(rng.standard_normal((1, 64)))
+    group = lambda n: unit(centre + np.sqrt((1 / 0.92 - 1) / 64) * rng.standard_normal((n, 64)))
+    n = min(many, vectors.SAMPLE)
+    forest = vectors.plant(np.concatenate([group(n // 3), unit(rng.standard_normal((n - n // 3, 64)))]), many, 0.9, vectors.TREES, 1)
+    left, right = group(2000), group(2000)
+    linked = (left * right).sum(axis=1) >= 0.9
+    assert vectors.together(forest, left[linked], right[linked]).mean() >= 0.97
+    others = unit(rng.standard_normal((2000, 64)))
+    near = unit(others + 0.058 * rng.standard_normal((2000, 64)))
+    assert vectors.together(forest, others, near).mean() >= 0.97
+    # and what is no group is still parted
+    assert max(np.bincount(vectors.leaves(tree, others)[1]).max() for tree in forest) < 0.5 * len(others)
+
+
 def test_vectors_that_are_awkward(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0], 5), (2, [2.0, 0.01], 5), (3, [1.0, 0.0], 6), (3, [1.0, 0.0], 6), (4, None, None), (5, [0.0, 0.0], 1), (6, [nan, 1.0], 1), (7, [inf, 1.0], 1)]
@@ -249,7 +266,6 @@ def test_pseudonyms_keep_format_links_and_can_be_undone(spark):
     assert all(other[i] != new[i] for i in range(6))
 
 
-def test_pseudonyms_are_a_permutation(spark):
 def test_pseudonyms_of_marked_numbers_and_dates_with_the_day_first(spark):
     texts = ["tel +1 (017) 555-7713, (212) 155-1234 and +1 055.155.0000", "on 25/12/1985, 29/02/2000 and 12/25/1985, not 29/02/2021 or 13/13/2000 or 31/04/1999"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -267,6 +283,7 @@ def test_pseudonyms_of_marked_numbers_and_dates_with_the_day_first(spark):
     assert pii.pseudonymise(numbers, "k").select("text").distinct().count() == 1000
 
 
+def test_pseudonyms_are_a_permutation(spark):
     df = spark.range(1000).select("id", F.format_string("call 212-555-%04d", "id").alias("text"))
     assert pii.pseudonymise(df, "k").select("text").distinct().count() == 1000
 
@@ -365,7 +382,6 @@ def test_language_on_awkward_rows(spark):
     assert language.identify(empty_docs(spark), model).count() == 0
 
 
-# ---------------------------------------------------------------- 9: shards
 def test_language_with_many_copies_keeps_its_sample(spark, monkeypatch):
     texts = [(f"uno dos tres palabra{i} {'abcdefghij'[i % 10] * 3}", "es") for i in range(30)] + [("otra cosa igual", "es")] * 3000
     texts += [("same english text", "en")] * 3000 + [("a second english text", "en")]
@@ -376,6 +392,7 @@ def test_language_with_many_copies_keeps_its_sample(spark, monkeypatch):
     assert learned == {"es": 20, "en": 2}
 
 
+# ---------------------------------------------------------------- 9: shards
 
 
 def shard_rows(df, shards, **more):
