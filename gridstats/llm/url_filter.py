@@ -56,13 +56,20 @@ def decided(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
 
 
 def entropy(text: Column) -> Column:
-    """Bits per character."""
+    """Bits per character, of the whole text: equal characters are sorted side by side and their runs summed."""
+    weight = lambda n: n * F.log2(F.greatest(n, F.lit(1)).cast("double"))
+
+    def add(state: Column, c: Column) -> Column:
+        same = state["c"] == c
+        total = F.when(same, state["s"]).otherwise(state["s"] + weight(state["n"]))
+        return F.struct(c.alias("c"), F.when(same, state["n"] + 1).otherwise(1).alias("n"), total.alias("s"))
+
     def of(chars: Column) -> Column:
-        n = F.size(chars)
-        share = lambda c: F.size(F.filter(chars, lambda x: x == c)) / n
-        return F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda s, c: s - let(share(c), lambda p: p * F.log2(p)))
+        begin = F.struct(F.lit("").alias("c"), F.lit(0).alias("n"), F.lit(0.0).alias("s"))
+        own = F.aggregate(F.sort_array(chars), begin, add, lambda state: state["s"] + weight(state["n"]))
+        return F.greatest(F.lit(0.0), F.log2(F.size(chars).cast("double")) - own / F.size(chars))
 
-    return F.when(F.length(text) > 0, let(F.split(F.substring(text, 1, 2048), ""), of)).otherwise(0.0)
+    return F.when(F.length(text) > 0, let(F.split(text, ""), of)).otherwise(0.0)
 
 
 def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:

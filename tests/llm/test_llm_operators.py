@@ -482,3 +482,13 @@ def test_url_sample_is_of_different_urls(spark, monkeypatch):
     urls = [("http://example.org/es/same",)] * 5000 + [(f"http://example.org/es/{i}",) for i in range(3)] + [(f"http://x.org/{i}",) for i in range(100)]
     model = url_filter.train(spark.createDataFrame(urls, "url string").repartition(3), URL_RULES)
     assert model.trees is not None and Counter(r["label"] for r in fitted[0]) == {1.0: 4, 0.0: 8}
+
+
+def test_url_entropy_is_of_the_whole_url(spark):
+    rng = random.Random(11)
+    long = "http://a.org/?" + "x" * 3000 + "".join(rng.choice("0123456789abcdefé日😀") for _ in range(100_000))
+    urls = [long, "", "a", "aaaa", "http://example.org/en/1", "abab"]
+    rows = spark.createDataFrame([(u,) for u in urls], "url string").select("url", url_filter.entropy(F.col("url")).alias("e")).collect()
+    for r in rows:
+        n = len(r["url"])
+        assert r["e"] == pytest.approx(sum(c / n * np.log2(n / c) for c in Counter(r["url"]).values()), abs=1e-9)
