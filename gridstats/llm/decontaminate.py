@@ -2,7 +2,8 @@
 
 A mask of ones and zeros laid over a stretch of words takes the words under its ones. Equal words under a mask on
 both sides are a hit even where words under its zeros were replaced. Several masks are used, so that replaced words
-at few places leave some mask untouched. Hits only name an alignment; the words of the whole item are then compared
+at few places leave some mask untouched. Items under 16 words are cut into one block more than the share lets words be
+replaced, so that one block is whole in every text that holds the item, and blocks are their masks. Hits only name an alignment; the words of the whole item are then compared
 along it, place by place, and the share of equal words decides.
 
 Everything is column expressions: texts become arrays of word hashes, masks become hashes of array elements, and one
@@ -19,6 +20,7 @@ from gridstats.plans.sizing import broadcast_if_small, spill
 
 MASKS = ("111011", "1101011", "11001101")
 MIN_SHARE = 0.8
+SHORT = 16  # items of fewer words are found whatever words are replaced
 
 
 def word_hashes(text: Column) -> Column:
@@ -40,11 +42,18 @@ def masked(hashes: Column, masks: tuple[str, ...]) -> Column:
     return let(hashes, lambda h: F.concat(*[one(h, number, mask) for number, mask in enumerate(masks)]))
 
 
-def masks_for(items: DataFrame, masks: tuple[str, ...]) -> tuple[str, ...]:
-    """``masks`` and, for items shorter than all of them, one mask of ones for each such length."""
-    least = min(map(len, masks))
-    short = items.where((F.size("item_words") > 0) & (F.size("item_words") < least)).select(F.size("item_words").alias("n")).distinct()
-    return (*masks, *["1" * row[0] for row in short.orderBy("n").collect()])
+def block(n: int, min_share: float) -> tuple[int, int]:
+    """(length, number) of the blocks of an item of n words: one block more than words that may be replaced."""
+    number = min(n, int(n * (1 - min_share) + 1e-9) + 1)
+    return n // number, number
+
+
+def masks_for(items: DataFrame, masks: tuple[str, ...], min_share: float) -> tuple[tuple[str, ...], dict[int, tuple[int, int]]]:
+    """``masks`` and one of ones for each length of a short item's blocks; the blocks for each number of words."""
+    below = max(SHORT, *map(len, masks))
+    short = items.where((F.size("item_words") > 0) & (F.size("item_words") < below)).select(F.size("item_words").alias("n")).distinct()
+    blocks = {row[0]: block(row[0], min_share) for row in short.collect()}
+    return (*masks, *["1" * n for n in sorted({length for length, _ in blocks.values()})]), blocks
 
 
 def seeds(df: DataFrame, hashes: str, masks: tuple[str, ...], *keep: str) -> DataFrame:
@@ -63,9 +72,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS,
     """
     items = benchmark.select("item_id", word_hashes(F.col("text")).alias("item_words")).distinct()
     items = spill(items.where(F.size("item_words") > 0))
-    masks = masks_for(items, masks)
+    spaced = len(masks)
+    masks, blocks = masks_for(items, masks, min_share)
     lengths = F.element_at(F.array(*[F.lit(len(m)) for m in masks]), (F.col("mask") + 1).cast("int"))
     own = seeds(items, "item_words", masks, "item_id").where(F.col("place") + lengths <= F.col("_n"))
+    fits = (F.col("mask") < spaced) & ~F.col("_n").isin(list(blocks))
+    for n, (length, number) in blocks.items():
+        fits |= (F.col("_n") == n) & (F.col("mask") >= spaced) & (lengths == length) & (F.col("place") % length == 0) & (F.col("place") < length * number)
+    own = own.where(fits)
     own = own.select("seed", "item_id", F.col("place").alias("item_place")).distinct()
     texts = docs.select(F.md5(F.col("text").cast("string").cast("binary")).alias("text_key"), word_hashes(F.col("text")).alias("words"))
     hits = seeds(texts, "words", masks, "text_key").join(broadcast_if_small(own), "seed")

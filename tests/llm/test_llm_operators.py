@@ -203,6 +203,31 @@ def test_leaks_with_replaced_words(spark):
     assert left == {d for d, _ in docs} - {d for d, *_ in found}
 
 
+def test_leaks_of_short_items_are_all_found(spark):
+    rng = random.Random(14)
+    items = [(n, [f"b{rng.randrange(30)}" for _ in range(n)]) for n in range(1, 16)]
+    docs = []
+    for k in range(450):
+        own = list(items[k % 15][1])
+        for place in rng.sample(range(len(own)), len(own) // 5):
+            own[place] = f"other{rng.randrange(50)}"
+        words = [f"n{rng.randrange(3000)}" for _ in range(20)]
+        words[5:5] = own
+        docs.append((k, " ".join(words)))
+    wanted = set()
+    for k, text in docs:
+        words = text.split()
+        for item, own in items:
+            equal = lambda at: sum(0 <= at + i < len(words) and words[at + i] == w for i, w in enumerate(own))
+            best = max(range(-len(own), len(words)), key=lambda at: (equal(at), -at))
+            if equal(best) >= 0.8 * len(own):
+                wanted.add((k, item, best, equal(best)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"], r["start"], r["matched"]) for r in decontaminate.contaminated(df, bench).collect()}
+    assert found == wanted and {k for k, *_ in wanted} == {k for k, _ in docs}
+
+
 def test_leaks_on_awkward_rows(spark):
     bench = spark.createDataFrame([(1, PLAIN), (1, PLAIN), (None, None), (2, "")], "item_id long, text string")
     docs = awkward_docs(spark)
@@ -228,6 +253,24 @@ def test_licences(spark):
     assert licenses.scan(df, templates=[("none", "")]).count() == 0
 
 
+def test_licences_amid_other_text():
+    known = licenses.Templates(licenses.TEMPLATES, licenses.MIN_DICE)
+    rng = random.Random(5)
+    code = lambda n: "\n".join(f"x{rng.randrange(900)} = f{rng.randrange(900)}(y{rng.randrange(900)})" for _ in range(n))
+    whole = {}
+    for name, text in licenses.TEMPLATES:
+        whole[name] = max(whole.get(name, ""), text, key=len)
+    for name in ("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Unlicense", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0"):
+        assert len(whole[name]) > 600
+        words = whole[name].split(" ")
+        parted = "\n\n".join(" ".join(words[len(words) * k // 3 : len(words) * (k + 1) // 3]) for k in range(3))
+        found = {n: d for n, d, *_ in licenses.best_matches(f"{code(400)}\n\n{parted}\n\n{code(400)}", known)}
+        assert found.get(name, 0) >= 0.8, name
+    prose = "We hope that you like it. Released under the MIT License. See the file for more."
+    assert licenses.best_matches(prose, known) == [("MIT", 1.0, "words", 6)]
+    assert licenses.best_matches(code(300), known) == []
+
+
 # ---------------------------------------------------------------- 6: personal data
 
 
