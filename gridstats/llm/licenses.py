@@ -4,6 +4,8 @@ A text is compared as a whole, by paragraphs and by lines, after normalising: lo
 words. Dice is twice the number of shared distinct bigrams over the sum of both numbers. A segment can only reach a
 threshold t with a template of a bigrams if it has between a t / (2 - t) and a (2 - t) / t of them; these bounds leave
 most segments without any candidate, and an index of the templates' bigrams counts the shared ones of the rest.
+A licence that none of these segments reaches is looked for in windows of words: along the text a bigram of the template
+gains 2 - t and any other new one costs t, so the stretch of the largest sum is the one that can reach the threshold.
 Rows are mapped where they are; templates are a parameter of fixed size.
 """
 
@@ -12,6 +14,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,9 +23,47 @@ from gridstats.llm.text import column_bytes, slices
 
 MIN_DICE = 0.8
 WORD = re.compile(r"[^\W_]+")
-KINDS = ("line", "paragraph", "text")
-
-# Notices and short texts of public licences.
+KINDS = ("line", "paragraph", "text", "words")
+TEXTS = Path(__file__).parent / "license_texts"  # whole licences
+
+# Notices and texts of public licences.
+WHOLE = (("Apache-2.0", "Apache-2.0"), ("GPL-2.0", "GPL-2"), ("GPL-3.0", "GPL-3"), ("LGPL-2.1", "LGPL-2.1"), ("LGPL-3.0", "LGPL-3"))
+ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
+    'copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH '
+    "REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, "
+    "DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+    "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+BSD_HEAD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution."
+)
+BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+    "software without specific prior written permission."
+)
+BSD_TAIL = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, '
+    "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+    "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, "
+    "EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+UNLICENSE = (
+    "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute "
+    "this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions "
+    "that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. "
+    "We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an "
+    "overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED "
+    '"AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR '
+    "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, "
+    "TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, "
+    "please refer to https://unlicense.org"
+)
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     (
@@ -64,6 +105,11 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("ISC", ISC),
+    ("BSD-2-Clause", f"{BSD_HEAD} {BSD_TAIL}"),
+    ("BSD-3-Clause", f"{BSD_HEAD} {BSD_NAMES} {BSD_TAIL}"),
+    ("Unlicense", UNLICENSE),
+    *[(name, (TEXTS / f"{file}.txt").read_text(encoding="utf-8")) for name, file in WHOLE],
 )
 
 
@@ -76,7 +122,7 @@ class Templates:
     def __init__(self, templates: Sequence[tuple[str, str]], least: float) -> None:
         self.least = least
         self.names = [name for name, _ in templates]
-        own = [bigrams(text) for _, text in templates]
+        self.own = own = [bigrams(text) for _, text in templates]
         self.sizes = [len(g) for g in own]
         self.index: dict[tuple[str, str], list[int]] = {}
         for k, found in enumerate(own):
@@ -99,8 +145,44 @@ class Templates:
         return [(k, d) for k, d in dice if d >= self.least]
 
 
+    def windows(self, text: str, passed: set[str]) -> Iterator[tuple[int, float, int]]:
+        """(template, Dice, number of its first word) of the best window for each template not ``passed`` that one reaches."""
+        words = WORD.findall(text.lower())
+        found = list(zip(words, words[1:], strict=False))
+        shared = Counter(k for g in self.index.keys() & set(found) for k in self.index[g])
+        for k, n in shared.items():
+            # a window that reaches the threshold holds this share of the template
+            if self.names[k] in passed or n < self.sizes[k] * self.least / (2 - self.least) - 1e-9:
+                continue
+            low, high = self.stretch(found, k)
+            last, first = self.stretch(found[::-1], k)
+            best = max((self.dice(set(found[a:b]), k), -a) for a, b in ((low, high), (len(found) - first, len(found) - last)))
+            if best[0] >= self.least:
+                yield k, best[0], -best[1]
+
+    def dice(self, found: set[tuple[str, str]], k: int) -> float:
+        return 2 * len(found & self.own[k]) / (len(found) + self.sizes[k])
+
+    def stretch(self, found: list[tuple[str, str]], k: int) -> tuple[int, int]:
+        """The stretch of the largest sum; a bigram that it has already gains and costs nothing."""
+        own, start, total, best = self.own[k], 0, 0.0, (0.0, 0, 0)
+        last: dict[tuple[str, str], int] = {}
+        for place, g in enumerate(found):
+            if total <= 0:
+                start, total = place, 0.0
+            if last.get(g, -1) < start:
+                total += 2 - self.least if g in own else -self.least
+            last[g] = place
+            if total > best[0]:
+                best = total, start, place + 1
+        return best[1:]
+
+
 def best_matches(text: str, templates: Templates) -> list[tuple[str, float, str, int]]:
-    """(licence, Dice, kind of segment, its number) for each licence of a text: the best segment, the first of several."""
+    """(licence, Dice, kind of segment, its number) for each licence of a text: the best segment, the first of several.
+
+    Windows of words are used for licences that no line, paragraph or whole text reaches.
+    """
     lines = text.split("\n")
     paragraphs = re.split(r"\n[ \t]*\n", text) if "\n" in text else lines
     best: dict[str, tuple[float, int, int]] = {}
@@ -110,6 +192,11 @@ def best_matches(text: str, templates: Templates) -> list[tuple[str, float, str,
                 name = templates.names[k]
                 if name not in best or dice > best[name][0]:
                     best[name] = dice, kind, place
+    passed = set(best)
+    for k, dice, place in templates.windows(text, passed):
+        name = templates.names[k]
+        if name not in best or dice > best[name][0]:
+            best[name] = dice, len(KINDS) - 1, place
     return [(name, dice, KINDS[kind], place) for name, (dice, kind, place) in sorted(best.items())]
 
 
