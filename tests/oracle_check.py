@@ -23,6 +23,8 @@ def canonical(frame: pd.DataFrame) -> pd.DataFrame:
     for c in frame.columns:
         if frame[c].dtype == object or str(frame[c].dtype) in ("str", "string"):
             frame[c] = frame[c].astype(object).where(frame[c].notna(), None).map(lambda v: "NULL" if v is None else str(v))
+        elif frame[c].dtype.kind == "f" and frame[c].isna().any() and (frame[c].dropna() % 1 == 0).all():
+            frame[c] = frame[c].astype("Int64")  # long with nulls, which Spark's frames hold as doubles
     return frame.sort_values(list(frame.columns), na_position="first").reset_index(drop=True)
 
 
