@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridstats.llm import language, licenses, toxicity, url_filter
+from gridstats.llm import filter_audit, language, licenses, spelling, toxicity, url_filter
 from gridstats.llm.bpe import encode
 from gridstats.llm.decontaminate import contaminated
 from gridstats.llm.ngram_join import jaccard_components
@@ -164,3 +164,64 @@ r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, license ORDER BY dice DE
 SELECT doc_id, license, round(dice, 6) AS dice, ['line', 'paragraph', 'text'][kind + 1] AS kind, place FROM r WHERE q = 1
 """
 )
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    flags = labels.select("doc_id", (F.col("quality") == 1).alias("good"), (F.col("toxic") == 1).alias("toxic"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit.audited(docs, filter_audit.quality_conditions(), F.col("lang"), flags, repeated="E")
+
+
+# Every document through every step of every order.
+ORACLE["op12_filter_audit"] = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+f AS (SELECT doc_id, part, [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w), 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t),
+  regexp_matches(t, '[#$%&*|]'), doc_id > least] AS fails FROM w),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT f.*, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM f LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, fails),
+k AS (SELECT unnest(range(1, 6)) AS k),
+o AS (SELECT [a.k, b.k, x.k, y.k, z.k] AS ks FROM k a, k b, k x, k y, k z WHERE len(list_distinct([a.k, b.k, x.k, y.k, z.k])) = 5),
+s AS (SELECT array_to_string(list_transform(ks, lambda k: substr('ABCDE', k, 1)), '') AS filter_order, k.k AS step, ks[k.k] AS own, ks[1:k.k - 1] AS earlier FROM o, k),
+e AS (SELECT part, filter_order, step, own, n, good, toxic, fails[own] AS failed, len(list_filter(earlier, lambda k: fails[k])) > 0 AS gone,
+  len(list_filter(fails, lambda x: x)) AS failed_by FROM c, s),
+r AS (SELECT part, filter_order, step, own, CAST(coalesce(sum(n) FILTER (NOT failed AND NOT gone), 0) AS BIGINT) AS kept,
+  CAST(coalesce(sum(n) FILTER (failed AND NOT gone), 0) AS BIGINT) AS removed, CAST(coalesce(sum(n) FILTER (failed AND gone), 0) AS BIGINT) AS redundant,
+  CAST(coalesce(sum(n) FILTER (failed AND failed_by = 1), 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(sum(good) FILTER (failed AND NOT gone), 0) AS BIGINT) AS good_lost, CAST(coalesce(sum(toxic) FILTER (failed AND NOT gone), 0) AS BIGINT) AS toxic_lost
+  FROM e GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r
+"""
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.runs(table(spark, sf_dir, "documents").select("doc_id", "text"), 7)
+    return spelling.variants(found.where("n >= 2"))
+
+
+# crc32 step by step; near words by the words that one deletion leaves.
+ORACLE["op13_spelling_variants"] = r"""
+WITH RECURSIVE t AS (SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM (SELECT unnest(range(256)) AS i)),
+r AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+l AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM r WHERE length(run) >= 7 GROUP BY ALL),
+b AS (SELECT run, n, flatten(list_transform(string_split(doc_id || ':' || run, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [192 | (unicode(c) >> 6), 128 | (unicode(c) & 63)] END)) AS bytes FROM l),
+h AS (SELECT run, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes), lambda c, x: xor(c >> 8, t[CAST(xor(c, x) & 255 AS INTEGER) + 1])), 4294967295) AS h FROM b, t),
+d AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM d WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+x AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM w),
+c AS (SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS cut FROM x),
+e AS (SELECT a.word, b.word AS other, b.n AS other_n FROM c a JOIN c b ON a.p = b.p AND a.cut = b.cut AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM c JOIN w ON c.cut = w.word UNION SELECT w.word, c.word, c.n FROM c JOIN w ON c.cut = w.word),
+k AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS k, count(*) OVER (PARTITION BY word) AS n_near FROM e),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * w.n THEN other END AS form, CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n
+  FROM w LEFT JOIN k ON k.word = w.word AND k.k = 1),
+g AS (SELECT word, word AS at, form FROM f UNION ALL SELECT g.word, g.form, f.form FROM g JOIN f ON f.word = g.form WHERE g.form IS NOT NULL)
+SELECT f.word, f.form, g.at AS root, n, n_near, form_n FROM f JOIN g ON g.word = f.word AND g.form IS NULL
+"""
