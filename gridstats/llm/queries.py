@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridstats.llm import filter_audit, language, licenses, spelling, toxicity, url_filter
+from gridstats.llm import filter_audit, language, licenses, spelling, token_codes, toxicity, url_filter
 from gridstats.llm.bpe import encode
 from gridstats.llm.decontaminate import contaminated
 from gridstats.llm.ngram_join import jaccard_components
@@ -166,6 +166,13 @@ SELECT doc_id, license, round(dice, 6) AS dice, ['line', 'paragraph', 'text'][ki
 )
 
 
+@query
+def op11_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    files = token_codes.write_codes(docs, public_tokenizers.path("byte_bpe_50k.json"), token_codes.scratch_folder(spark))
+    return token_codes.read_codes(files).withColumnRenamed("key", "doc_id")
+
+
 @query
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
