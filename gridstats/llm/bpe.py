@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -24,9 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from gridstats.llm.text import column_bytes, slices
+from gridstats.llm.worker import kept
 
 END = "\0"  # stands for the word end; byte-level strings cannot hold it
-WORD_ENTRIES = 100_000  # words remembered by a task; only saves time
+WORD_ENTRIES = 200_000  # words remembered by a worker, and as many older ones; only saves time
 
 
 def byte_letters() -> list[str]:
@@ -119,7 +121,7 @@ class Vocabulary:
         return known
 
     def encode_word(self, word: str) -> list[int]:
-        letters = "".join([self.letters[b] for b in word.encode()])
+        letters = word if word.isascii() and word.isprintable() else "".join([self.letters[b] for b in word.encode()])
         if self.suffix:
             letters += END
         size = len(letters)
@@ -129,25 +131,29 @@ class Vocabulary:
             start = end + 1 - length
             if length > reach[start]:
                 reach[start], longest[start] = length, token
-        open_ = [True] * (size + 1)
-        if self.suffix:
-            open_[size - 1] = False  # the word end is no token of its own
+        lengths, fits = self.length, self.fits
+        closed = {size - 1} if self.suffix else set()  # the word end is no token of its own
         tokens: list[int] = []
-        at, token = 0, longest[0]
+        at, token, last = 0, longest[0], -1
         while at < size:
             while token >= 0:
-                end = at + self.length[token]
-                if open_[end] and (not tokens or self.follows(tokens[-1], token)):
-                    break
+                end = at + lengths[token]
+                if end not in closed:
+                    if last < 0:
+                        break
+                    fit = fits.get((last, token))
+                    if self.follows(last, token) if fit is None else fit:
+                        break
                 token = self.prefix(token)
             if token >= 0:
                 tokens.append(token)
-                at = end
+                at, last = end, token
                 token = longest[at]
             else:
-                open_[at] = False
+                closed.add(at)
                 token = tokens.pop()
-                at -= self.length[token]
+                at -= lengths[token]
+                last = tokens[-1] if tokens else -1
         return tokens
 
     def decode(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,20 +173,48 @@ class Vocabulary:
 
 
 class WordIds(dict):
-    """word -> bytes of its 32-bit ids."""
+    """word -> bytes of its 32-bit ids; forgets the words that were not met since the table was last full."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         super().__init__()
         self.vocabulary = vocabulary
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        found = self[word] = np.array(self.vocabulary.encode_word(word), np.int32).tobytes()
+        found = self.older.get(word)
+        if found is None:
+            found = array("i", self.vocabulary.encode_word(word)).tobytes()
+        self[word] = found
         return found
 
+    def age(self) -> None:
+        if len(self) > WORD_ENTRIES:
+            self.older = dict(self)
+            self.clear()
+
 
-# The word pattern of the vocabulary, and the same for ASCII texts.
+# The word pattern of the vocabulary, and the same for ASCII texts and for those of code points under U+0100.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0d a-z0-9]+")
+LATIN_WORDS = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+    r"|[^\x09-\x0d \x85\xa0a-z0-9\xaa\xb5\xba\xdf-\xf6\xf8-\xff\xb2\xb3\xb9\xbc-\xbe]+"
+)
+
+
+def is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def words_of(text: str) -> list[str]:
+    """The words of a lowered text."""
+    if text.isascii():
+        return ASCII_WORDS.findall(text)
+    return (LATIN_WORDS if is_latin(text) else WORDS).findall(text)
 
 
 def lowered(text: str) -> str:
@@ -196,9 +230,7 @@ def encode_text(text: str, words: WordIds, special: re.Pattern | None) -> bytes:
         if len(parts) > 1:
             ids = words.vocabulary.special
             return b"".join(np.int32(ids[p]).tobytes() if k % 2 else encode_text(p, words, None) for k, p in enumerate(parts))
-    text = lowered(text)
-    found = (ASCII_WORDS if text.isascii() else WORDS).findall(text)
-    return b"".join(map(words.__getitem__, found))
+    return b"".join(map(words.__getitem__, words_of(lowered(text))))
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids", decoded: str | None = None) -> DataFrame:
@@ -215,8 +247,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids
     place = docs.columns.index(text)
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(shared.value)
-        words = WordIds(vocabulary)
+        words = kept("bpe", shared.value, lambda text: WordIds(Vocabulary(text)))
+        vocabulary = words.vocabulary
         special = re.compile("(" + "|".join(map(re.escape, vocabulary.special)) + ")") if vocabulary.special else None
         for batch in batches:
             offsets, _ = column_bytes(batch.column(place))
@@ -225,8 +257,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids
                 rows = []
                 for value in part.column(place).to_pylist():
                     rows.append(encode_text(value or "", words, special))
-                    if len(words) > WORD_ENTRIES:
-                        words.clear()
+                    words.age()
                 at = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])])
                 flat = np.frombuffer(b"".join(rows), np.int32)
                 columns = [*part.columns, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int32()))]
