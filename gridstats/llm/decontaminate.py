@@ -6,8 +6,9 @@ at few places leave some mask untouched. Items under 16 words are cut into one b
 replaced, so that one block is whole in every text that holds the item, and blocks are their masks. Hits only name an alignment; the words of the whole item are then compared
 along it, place by place, and the share of equal words decides.
 
-Everything is column expressions: texts become arrays of word hashes, masks become hashes of array elements, and one
-explode meets the items' hashes in a hash join. Items are broadcast only after a check of their size.
+Everything is column expressions: texts become arrays of words, one explode gives their places, places whose first words no
+item has are dropped in a hash join, and the masks' hashes at the rest meet the items' in another. Items are broadcast only
+after a check of their size.
 """
 
 from __future__ import annotations
@@ -15,31 +16,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridstats.functions.binding import let
-from gridstats.plans.sizing import broadcast_if_small, spill
+from gridstats.plans.sizing import broadcast_if_small, fits_broadcast, spill
 
 MASKS = ("111011", "1101011", "11001101")
 MIN_SHARE = 0.8
 SHORT = 16  # items of fewer words are found whatever words are replaced
 
 
-def word_hashes(text: Column) -> Column:
-    """Hashes of the lower-cased runs of letters and digits of a text; none for a null."""
-    words = F.filter(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return F.transform(words, lambda w: F.xxhash64(w))
+def word_list(text: Column) -> Column:
+    """The lower-cased runs of letters and digits of a text; none for a null."""
+    return F.array_remove(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def masked(hashes: Column, masks: tuple[str, ...]) -> Column:
-    """For each mask, one hash for each place of ``hashes``; the arrays one after the other, each as long as ``hashes``.
+def seed(words: Column, place: Column, number: int, mask: str) -> Column:
+    """The hash of the words under a mask laid at ``place``. Where the mask reaches beyond the text, the hash is that of
+    fewer words and is of no use."""
+    return F.xxhash64(F.lit(number), *[F.get(words, place + k) for k, bit in enumerate(mask) if bit == "1"])
 
-    Near the end, where a mask reaches beyond the text, the hash is that of fewer words and is of no use.
-    """
 
-    def one(h: Column, number: int, mask: str) -> Column:
-        places = [k for k, bit in enumerate(mask) if bit == "1"]
-        return F.transform(h, lambda _, i: F.xxhash64(F.lit(number), *[F.get(h, i + k) for k in places]))
+def start_length(mask: str) -> int:
+    """How many words a mask begins with that a text must have there: 1 or 2."""
+    return 2 if mask.startswith("11") else 1
+
 
-    return let(hashes, lambda h: F.concat(*[one(h, number, mask) for number, mask in enumerate(masks)]))
+def first_words(words: Column, place: Column, many: int) -> Column:
+    return F.xxhash64(F.lit(many), *[F.get(words, place + k) for k in range(many)])
 
 
 def block(n: int, min_share: float) -> tuple[int, int]:
@@ -56,11 +57,14 @@ def masks_for(items: DataFrame, masks: tuple[str, ...], min_share: float) -> tup
     return (*masks, *["1" * n for n in sorted({length for length, _ in blocks.values()})]), blocks
 
 
-def seeds(df: DataFrame, hashes: str, masks: tuple[str, ...], *keep: str) -> DataFrame:
-    """``keep`` columns, seed and place, for each place and mask."""
-    return df.select(*keep, F.size(hashes).alias("_n"), F.posexplode(masked(F.col(hashes), masks)).alias("_p", "seed")).select(
-        *keep, "_n", "seed", (F.col("_p") % F.col("_n")).alias("place"), F.floor(F.col("_p") / F.col("_n")).alias("mask")
-    )
+def seeds(df: DataFrame, words: str, masks: tuple[str, ...], *keep: str) -> DataFrame:
+    """``keep`` columns, seed, place and mask, for each of the rows' places (``place``) and each mask."""
+    own = F.array(*[F.struct(F.lit(k).alias("mask"), seed(F.col(words), F.col("place"), k, mask).alias("seed")) for k, mask in enumerate(masks)])
+    return df.select(*keep, "place", F.inline(own))
+
+
+def places(df: DataFrame, words: str, *keep: str) -> DataFrame:
+    return df.select(*keep, words, F.posexplode(words).alias("place", "_word")).drop("_word")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, min_share: float = MIN_SHARE) -> DataFrame:
@@ -70,26 +74,36 @@ def leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS,
     of the item's first word in the text, negative where the text begins later in the item. Equal texts are one. Null
     and wordless texts and items match nothing; items with equal words are found each by itself.
     """
-    items = benchmark.select("item_id", word_hashes(F.col("text")).alias("item_words")).distinct()
+    items = benchmark.select("item_id", word_list(F.col("text")).alias("item_words")).distinct()
     items = spill(items.where(F.size("item_words") > 0))
     spaced = len(masks)
     masks, blocks = masks_for(items, masks, min_share)
-    lengths = F.element_at(F.array(*[F.lit(len(m)) for m in masks]), (F.col("mask") + 1).cast("int"))
-    own = seeds(items, "item_words", masks, "item_id").where(F.col("place") + lengths <= F.col("_n"))
+    lengths = F.element_at(F.array(*[F.lit(len(m)) for m in masks]), F.col("mask") + 1)
+    n = F.size("item_words").alias("_n")
+    own = seeds(places(items.select("item_id", "item_words", n), "item_words", "item_id", "_n"), "item_words", masks, "item_id", "_n", "item_words")
+    own = own.where(F.col("place") + lengths <= F.col("_n"))
     fits = (F.col("mask") < spaced) & ~F.col("_n").isin(list(blocks))
     for n, (length, number) in blocks.items():
         fits |= (F.col("_n") == n) & (F.col("mask") >= spaced) & (lengths == length) & (F.col("place") % length == 0) & (F.col("place") < length * number)
-    own = own.where(fits)
+    own = spill(own.where(fits))
+    texts = docs.select(F.md5(F.col("text").cast("string").cast("binary")).alias("text_key"), word_list(F.col("text")).alias("words"))
+    at = places(texts, "words", "text_key")
+    # a place is looked at only if an item has the same first words under some mask, and only then are masks hashed
+    kinds = sorted({start_length(m) for m in masks})
+    starts = F.element_at(F.array(*[F.lit(start_length(m)) for m in masks]), F.col("mask") + 1)
+    gates = [own.where(starts == k).select(first_words(F.col("item_words"), F.col("place"), k).alias("gate")) for k in kinds]
+    gate = gates[0] if len(gates) == 1 else gates[0].union(gates[1])
+    gate = gate.distinct()
+    if fits_broadcast(gate):
+        opened = F.explode(F.array(*[first_words(F.col("words"), F.col("place"), k) for k in kinds])).alias("gate")
+        at = at.select("*", opened).join(F.broadcast(gate), "gate", "left_semi")
     own = own.select("seed", "item_id", F.col("place").alias("item_place")).distinct()
-    texts = docs.select(F.md5(F.col("text").cast("string").cast("binary")).alias("text_key"), word_hashes(F.col("text")).alias("words"))
-    hits = seeds(texts, "words", masks, "text_key").join(broadcast_if_small(own), "seed")
-    hits = hits.select("text_key", "item_id", (F.col("place") - F.col("item_place")).alias("start")).distinct()
-    # texts are hashed again only where there is a hit: few, so the join is on the hits' side as small as can be
-    hits = spill(hits)
+    hits = seeds(at, "words", masks, "text_key").join(broadcast_if_small(own), "seed")
+    # texts are split again only where there is a hit: few, so each once, and a row of it meets each of its hits
+    hits = spill(hits.select("text_key", "item_id", (F.col("place") - F.col("item_place")).alias("start")).distinct())
     found = docs.select(F.md5(F.col("text").cast("string").cast("binary")).alias("text_key"), "text")
-    found = found.join(broadcast_if_small(hits.groupBy("text_key").agg(F.collect_list(F.struct("item_id", "start")).alias("hit"))), "text_key")
-    found = found.dropDuplicates(["text_key"]).withColumn("words", word_hashes(F.col("text"))).select("text_key", "words", F.explode("hit").alias("hit"))
-    found = found.select("text_key", "words", "hit.item_id", "hit.start").join(broadcast_if_small(items), "item_id")
+    found = found.join(broadcast_if_small(hits.select("text_key").distinct()), "text_key", "left_semi").dropDuplicates(["text_key"])
+    found = found.select("text_key", word_list(F.col("text")).alias("words")).join(broadcast_if_small(hits), "text_key").join(broadcast_if_small(items), "item_id")
     equal = F.filter(F.col("item_words"), lambda w, k: (F.col("start") + k >= 0) & (w == F.get(F.col("words"), F.col("start") + k)))
     found = found.select("text_key", "item_id", "start", F.size(equal).alias("matched"), F.size("item_words").alias("n_words"))
     found = found.where(F.col("matched") >= min_share * F.col("n_words"))
