@@ -154,14 +154,15 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", lang: st
     Columns of the three names are replaced; all rows and other columns stay.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    # plain arrays: a broadcast value is not shipped with its class
+    shared = spark.sparkContext.broadcast((model.languages, model.weights, model.centroids, model.nearest))
     names = [c for c in docs.columns if c.lower() not in (lang.lower(), score.lower(), accepted.lower())]
     kept = [f"_c{i}" for i in range(len(names))]
     place = names.index(text)
     given = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(names, kept, strict=True)], has_letter(F.col(f"`{text}`")).alias("_any"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = LanguageModel(*shared.value)
         for batch in batches:
             any_letter = batch.column(len(kept)).to_numpy(zero_copy_only=False)
             for rows, matrix in vectors(batch.column(place), m.weights):

@@ -179,13 +179,14 @@ def linked(sets: DataFrame, many: int, width: int, cosine: float, trees: int, se
     points = np.array([r[0] for r in drawn.select("v").collect()]).reshape(-1, width)
     planted = plant(points, many, cosine, trees, seed)
     trees = len(planted)
-    forest = spark.sparkContext.broadcast(planted)
+    # plain arrays: a broadcast value is not shipped with its class
+    forest = spark.sparkContext.broadcast([(tree.directions, tree.middle, tree.margin) for tree in planted])
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 2048):
                 part = batch.slice(low, 2048)
-                places = [leaves(tree, matrix(part.column(1))) for tree in forest.value]
+                places = [leaves(Tree(*tree), matrix(part.column(1))) for tree in forest.value]
                 row = np.concatenate([r for r, _ in places])
                 leaf = np.concatenate([n * trees + t for t, (_, n) in enumerate(places)])
                 order = np.lexsort((leaf // trees, leaf % trees, row))

@@ -72,3 +72,16 @@ def test_components_of_random_links(spark):
     found = {r["node"]: r["component"] for r in components(df).collect()}
     assert found == {x: top(x) for a, b in links if a != b for x in (a, b)}
     assert components(df.limit(0)).count() == 0
+
+
+def test_word_patterns_agree_where_they_overlap():
+    import itertools
+
+    from gridstats.llm import bpe
+
+    rng = random.Random(9)
+    latin = [chr(c) for c in range(256) if chr(c).lower() == chr(c)]
+    texts = ["".join(pair) for pair in itertools.product(latin, repeat=2)]
+    texts += ["".join(rng.choice(latin + list("'s't're ' ")) for _ in range(40)) for _ in range(2000)]
+    for text in texts:
+        assert bpe.words_of(text) == bpe.WORDS.findall(text), text
