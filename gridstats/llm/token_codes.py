@@ -26,7 +26,8 @@ import os
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridstats.llm.bpe import byte_letters, is_latin
 from gridstats.llm.text import column_bytes, slices
+from gridstats.llm.worker import kept
 from gridstats.plans.sizing import broadcast_if_small, checkpoint_folder, spill
 from gridstats.sources.files import open_location, qualified, write_whole
 
@@ -44,14 +47,20 @@ KINDS = ("<u1", "<u1", "<u2")
 BLOCK = 512  # bits a rank directory counts by
 HEAD = 8 + 8 * (1 + len(WIDTHS))
 FILE_TOKENS = 1 << 22  # a file ends with the document that reaches this
-PIECES = 100_000  # pieces of text whose ids a worker remembers; only saves time
+PIECES = 200_000  # pieces of text whose ids a worker remembers, and as many older ones; only saves time
 LONG_PIECE = 64  # longer pieces are not remembered
-TEXT_BYTES = 1 << 21  # bytes of text tokenised at once, or one text
+TEXT_BYTES = 1 << 21  # bytes of text taken out of a batch at once, or one text
 CELL = 1 << 22  # positions of one cell when positions are looked up
 LISTED = ["file", "part", "number", "documents", "tokens"]
 
-# A blank between two of these characters always begins a token: the pattern of the vocabulary takes one blank together
-# with what follows, and no other token holds a blank that has such neighbours.
+# The word pattern of byte-level vocabularies, written out for texts of code points under U+0100.
+LATIN_PIECES = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+| ?[0-9\xb2\xb3\xb9\xbc-\xbe]+"
+    r"| ?[^\t-\r \x85\xa0A-Za-z0-9\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff\xb2\xb3\xb9\xbc-\xbe]+"
+    r"|[\t-\r \x85\xa0]+(?![^\t-\r \x85\xa0])|[\t-\r \x85\xa0]+"
+)
+# In other texts a blank between two of these characters always begins a token: the pattern takes one blank together with
+# what follows, and no other token holds a blank that has such neighbours.
 BORDER = re.compile("(?<=[!-~À-ž])(?= [!-~À-ž])")
 
 
@@ -153,6 +162,29 @@ class TokenFile:
         return self.read(self.end, n, "<i8"), self.read(self.end + 8 * n, n, "u1").astype(bool), self.read(self.end + 9 * n, n, "<i8")
 
 
+class PieceIds(dict):
+    """piece of text -> bytes of its 32-bit ids, as ``ids_of`` gives them; long pieces are not remembered, and others as
+    long as they were met since the table was last full."""
+
+    def __init__(self, ids_of: Callable[[str], list[int]]) -> None:
+        super().__init__()
+        self.ids_of = ids_of
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.older.get(piece)
+        if found is None:
+            found = array("I", self.ids_of(piece)).tobytes()
+        if len(piece) <= LONG_PIECE:
+            self[piece] = found
+        return found
+
+    def age(self) -> None:
+        if len(self) > PIECES:
+            self.older = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, which sees each piece between certain token borders once."""
 
@@ -164,33 +196,29 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         rules = json.loads(content)
-        plain = rules.get("normalizer") is None and rules.get("post_processor") is None and rules["pre_tokenizer"]["type"] == "ByteLevel"
-        # special strings with blanks, or a blank put before each text, would not allow for pieces
-        self.pieces = plain and not rules["pre_tokenizer"]["add_prefix_space"] and not any(
-            " " in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in rules.get("added_tokens", [])
-        )
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as 32-bit numbers."""
-        split = [BORDER.split(t) if self.pieces else [t] for t in texts]
-        known, older, fresh = self.recent, self.older, {}
-        for parts in split:
-            for part in parts:
-                if part not in known and part not in fresh:
-                    if part in older:
-                        known[part] = older[part]
-                    else:
-                        fresh[part] = b""
-        wanted = list(fresh)
-        for part, code in zip(wanted, self.library.encode_batch(wanted, add_special_tokens=False), strict=True):
-            fresh[part] = np.array(code.ids, "<u4").tobytes()
-        done = [b"".join([known[p] if p in known else fresh[p] for p in parts]) for parts in split]
-        known.update((p, code) for p, code in fresh.items() if len(p) <= LONG_PIECE)
-        if len(known) > PIECES:
-            self.recent, self.older = {}, known
-        return done
+        before = rules.get("pre_tokenizer") or {}
+        plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before["add_prefix_space"]
+        added = rules.get("added_tokens", [])
+        # anything else is done on texts, or asks for blanks beside special strings, and does not allow for pieces
+        plain = plain and rules.get("normalizer") is None and rules.get("post_processor") is None
+        self.pieces = plain and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
+        self.special = [t["content"] for t in added]
+        letters = byte_letters()
+        model = self.library.model
+        self.words = PieceIds(lambda piece: [t.id for t in model.tokenize("".join([letters[b] for b in piece.encode()]))])
+        self.parts = PieceIds(lambda piece: self.library.encode(piece, add_special_tokens=False).ids)
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as 32-bit numbers."""
+        if not self.pieces:
+            ids, split = self.parts, [text]
+        elif is_latin(text) and not any(s in text for s in self.special):
+            ids, split = self.words, LATIN_PIECES.findall(text)  # these are the words that the library would cut
+        else:
+            ids, split = self.parts, BORDER.split(text)
+        found = b"".join(map(ids.__getitem__, split))
+        ids.age()
+        return found
 
 
 def write_codes(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, key: str = "doc_id", text: str = "text", file_tokens: int = FILE_TOKENS) -> DataFrame:
@@ -212,7 +240,7 @@ def write_codes(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, k
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
-        encoder = Encoder(shared.value)
+        encoder = kept("token codes", shared.value, Encoder)
         codes, keys, ends, size = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
@@ -230,8 +258,8 @@ def write_codes(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, k
             for low, high in slices(offsets, TEXT_BYTES):
                 piece = batch.slice(low, high - low)
                 begin = 0
-                for row, code in enumerate(encoder.encode(piece.column(1).to_pylist())):
-                    codes.append(code + closing)
+                for row, value in enumerate(piece.column(1).to_pylist()):
+                    codes.append(encoder.encode(value) + closing)
                     size += len(codes[-1]) // 4
                     ends.append(size)
                     if size >= file_tokens or row == piece.num_rows - 1:
