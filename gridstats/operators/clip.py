@@ -6,6 +6,8 @@ edges that reach into the band; those are all the edges the covers test needs th
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,23 +20,24 @@ BAND_DEGREES = 0.25
 CELL_DEGREES = 1.0
 
 
-def polygon_bands(polygons: DataFrame, band: float = BAND_DEGREES) -> DataFrame:
-    """``_band, _cell, _minx, _maxx, _edges`` per part, band and cell of the band."""
+def polygon_bands(polygons: DataFrame, band: float = BAND_DEGREES, keep: Sequence[str] = (), slack: float = 0.0) -> DataFrame:
+    """``_band, _cell, _minx, _maxx, _edges`` and the columns ``keep`` per part, band and cell of the band. Bands and cells
+    within ``slack`` of a part count as met."""
     bounds = ring_bounds(F.col("rings"))
     parts = polygons.select(
-        ring_edges(F.col("rings")).alias("_all"), *[bounds[k].alias(f"_{k}") for k in ("minx", "maxx", "miny", "maxy")]
+        *keep, ring_edges(F.col("rings")).alias("_all"), *[bounds[k].alias(f"_{k}") for k in ("minx", "maxx", "miny", "maxy")]
     )
-    spread = F.sequence(F.floor(F.col("_miny") / band), F.floor(F.col("_maxy") / band))
+    spread = F.sequence(F.floor((F.col("_miny") - slack) / band), F.floor((F.col("_maxy") + slack) / band))
     bands = parts.withColumn("_band", F.explode(spread))
     low, high = F.col("_band") * band, (F.col("_band") + 1) * band
     # one part in 10^9 of slack, so that rounding of the band borders cannot lose an edge
-    slack = band * 1e-9
+    beyond = slack + band * 1e-9
     reach = F.filter(
         "_all",
-        lambda e: (F.least(e["y1"], e["y2"]) <= high + slack) & (F.greatest(e["y1"], e["y2"]) >= low - slack),
+        lambda e: (F.least(e["y1"], e["y2"]) <= high + beyond) & (F.greatest(e["y1"], e["y2"]) >= low - beyond),
     )
-    cells = F.sequence(F.floor(F.col("_minx") / CELL_DEGREES), F.floor(F.col("_maxx") / CELL_DEGREES))
-    return bands.select("_band", F.explode(cells).alias("_cell"), "_minx", "_maxx", reach.alias("_edges"))
+    cells = F.sequence(F.floor((F.col("_minx") - slack) / CELL_DEGREES), F.floor((F.col("_maxx") + slack) / CELL_DEGREES))
+    return bands.select(*keep, "_band", F.explode(cells).alias("_cell"), "_minx", "_maxx", reach.alias("_edges"))
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, band: float = BAND_DEGREES) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from gridstats.functions.polygon import RINGS
 from gridstats.functions.wkb import decode_points, is_finite
+from gridstats.operators.dissolve import dissolve
 from gridstats.plans.sizing import broadcast_if_small, pin
 
 # Eight compass directions, counter-clockwise; the extreme points span an octagon inside the hull.
@@ -208,13 +209,13 @@ def _fold_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def combine_hulls(hulls: DataFrame, operation: str = "union") -> DataFrame:
-    """``union``: all hulls as the parts of one shape (a point is covered if any part covers it).
+    """``union``: the dissolved outline of all hulls, as parts that do not overlap.
 
     ``intersection``: the common area as one convex part, or no row when there is none.
     """
     parts = hulls.select("rings")
     if operation == "union":
-        return parts.distinct()
+        return dissolve(parts)
     if operation != "intersection":
         raise ValueError("operation must be 'union' or 'intersection'")
 

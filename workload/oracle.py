@@ -400,6 +400,42 @@ covered AS (
   SELECT p.id, e.station FROM scattered p CROSS JOIN edges e
   GROUP BY p.id, e.station HAVING min((bx - ax) * (lat - ay) - ("by" - ay) * (lon - ax)) >= 0)"""
 ORACLE["hull_union_parts"] = f"{_HULL}, {_COVERED} SELECT DISTINCT id AS rowid FROM covered"
+# Corners that no other hull covers, and crossings of two hulls' edges that no third one covers.
+_OUTLINE = """edges AS (
+  SELECT a.station, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS "by" FROM wrap a JOIN wrap b ON a.station = b.station AND b.k = a.k + 1),
+crossed AS (
+  SELECT e.station AS one, f.station AS two, e.ax, e.ay, e.bx, e."by",
+    (f.bx - f.ax) * (e.ay - f.ay) - (f."by" - f.ay) * (e.ax - f.ax) AS d1, (f.bx - f.ax) * (e."by" - f.ay) - (f."by" - f.ay) * (e.bx - f.ax) AS d2,
+    (e.bx - e.ax) * (f.ay - e.ay) - (e."by" - e.ay) * (f.ax - e.ax) AS d3, (e.bx - e.ax) * (f."by" - e.ay) - (e."by" - e.ay) * (f.bx - e.ax) AS d4
+  FROM edges e JOIN edges f ON e.station < f.station),
+spots AS (
+  SELECT station AS one, station AS two, bx AS x, "by" AS y FROM edges
+  UNION ALL SELECT one, two, ax + (bx - ax) * d1 / (d1 - d2), ay + ("by" - ay) * d1 / (d1 - d2) FROM crossed WHERE d1 * d2 < 0 AND d3 * d4 < 0),
+covering AS (
+  SELECT s.x, s.y FROM spots s JOIN edges e ON e.station <> s.one AND e.station <> s.two
+  GROUP BY s.x, s.y, e.station HAVING min((e.bx - e.ax) * (s.y - e.ay) - (e."by" - e.ay) * (s.x - e.ax)) >= 0),
+outline AS (SELECT x, y FROM spots EXCEPT SELECT x, y FROM covering)"""
+ORACLE["hull_union_outline"] = f"{_HULL}, {_OUTLINE} SELECT {rounded('x', 'lon', 9)}, {rounded('y', 'lat', 9)} FROM outline"
+# The border runs along each edge between two neighbouring corners or crossings whose middle no other hull covers (Green).
+ORACLE["hull_union_area"] = f"""{_HULL}, {_OUTLINE},
+stops AS (
+  SELECT station, ax, ay, bx, "by", unnest([0.0::double, 1.0::double]) AS t FROM edges
+  UNION ALL SELECT one, ax, ay, bx, "by", d1 / (d1 - d2) FROM crossed WHERE d1 * d2 < 0 AND d3 * d4 < 0
+  UNION ALL SELECT f.station, f.ax, f.ay, f.bx, f."by", c.d3 / (c.d3 - c.d4) FROM crossed c JOIN edges f ON f.station = c.two
+    AND (c.bx - c.ax) * (f.ay - c.ay) - (c."by" - c.ay) * (f.ax - c.ax) = c.d3 AND (c.bx - c.ax) * (f."by" - c.ay) - (c."by" - c.ay) * (f.bx - c.ax) = c.d4
+    WHERE c.d1 * c.d2 < 0 AND c.d3 * c.d4 < 0),
+runs AS (
+  SELECT *, lead(t) OVER (PARTITION BY station, ax, ay, bx, "by" ORDER BY t) AS u FROM stops),
+pieces AS (
+  SELECT station, ax + (bx - ax) * t AS px, ay + ("by" - ay) * t AS py, ax + (bx - ax) * u AS qx, ay + ("by" - ay) * u AS qy FROM runs WHERE u > t),
+hidden AS (
+  SELECT p.* FROM pieces p JOIN edges e ON e.station <> p.station
+  GROUP BY p.station, p.px, p.py, p.qx, p.qy, e.station
+  HAVING min((e.bx - e.ax) * ((p.py + p.qy) / 2 - e.ay) - (e."by" - e.ay) * ((p.px + p.qx) / 2 - e.ax)) >= 0),
+border AS (SELECT * FROM pieces EXCEPT SELECT * FROM hidden),
+total AS (
+  SELECT sum(px * qy - qx * py) / 2 AS a, sum((px * qy - qx * py) * (px + qx)) / 6 AS ax, sum((px * qy - qx * py) * (py + qy)) / 6 AS ay FROM border)
+SELECT {rounded('a', 'area', 8)}, {rounded('ax / a', 'lon', 8)}, {rounded('ay / a', 'lat', 8)} FROM total"""
 ORACLE["hull_intersection"] = f"{_HULL}, {_COVERED} SELECT id AS rowid FROM covered GROUP BY id HAVING count(*) = (SELECT count(DISTINCT station) FROM scattered)"
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridstats.constants import DEFAULT_RADIUS_KM
 from gridstats.functions.geo import great_circle_m
+from gridstats.functions.polygon import edge_sums
 from gridstats.functions.text import rfc3339, utc_time
 from gridstats.functions.utm import utm_forward, utm_inverse, utm_zone
 from gridstats.functions.wkb import decode_points, geometry_type, point_wkb, wkb_x, wkb_y
@@ -334,6 +335,23 @@ def hull_union_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clip.points_in_polygons(scattered(spark, sf_dir), shape).select("rowid")
 
 
+@query
+def hull_union_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corners of the dissolved union of the hulls of all stations."""
+    shape = hull.combine_hulls(_station_hulls(spark, sf_dir), "union")
+    ring = shape.select(F.explode("rings").alias("ring"))
+    corners = ring.select(F.explode(F.slice(F.col("ring"), F.lit(1), F.size("ring") - 1)).alias("v"))
+    return tidy(corners.select(F.col("v.x").alias("lon"), F.col("v.y").alias("lat")), 9)
+
+
+@query
+def hull_union_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Area and centroid of the dissolved union, in square degrees."""
+    shape = hull.combine_hulls(_station_hulls(spark, sf_dir), "union")
+    sums = shape.select(F.explode(edge_sums(F.col("rings"))).alias("s")).agg(*[F.sum(f"s.{k}").alias(k) for k in ("a", "ax", "ay")])
+    return tidy(sums.select(F.col("a").alias("area"), (F.col("ax") / F.col("a")).alias("lon"), (F.col("ay") / F.col("a")).alias("lat")), 8)
+
+
 @query
 def hull_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points covered by the common part of the hulls of all stations."""
