@@ -10,9 +10,11 @@ import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridstats.constants import RESULT_FOLDERS
 from gridstats.functions.text import arrow_type_name, partition_segments
+from gridstats.functions.wkb import geometry_bounds
 from gridstats.plans.sizing import pin
 
 PARQUET_MARK = b"PAR1"
@@ -150,9 +152,27 @@ def with_footer_fields(inventory: DataFrame) -> DataFrame:
     ).drop("_g")
 
 
-def read_geoparquet(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of a GeoParquet dataset, partition columns included."""
-    return spark.read.parquet(path)
+def read_geoparquet(spark: SparkSession, path: str, bbox: Sequence[float] | None = None, geometry: str = "geometry") -> DataFrame:
+    """The rows of a GeoParquet dataset, partition columns included.
+
+    With ``bbox`` (west, south, east, north) those whose geometry's box meets it, borders included. Where the files have a
+    ``bbox`` covering column the conditions go to the scan, which leaves out the row groups whose statistics exclude them;
+    else boxes are worked out from the geometry. Rows without a readable geometry have no box and are left out.
+    """
+    rows = spark.read.parquet(path)
+    if bbox is None:
+        return rows
+    west, south, east, north = (float(v) for v in bbox)
+    if not (west <= east and south <= north):
+        raise ValueError("bbox must be west, south, east, north")
+    sides = ("xmin", "ymin", "xmax", "ymax")
+    kind = rows.schema["bbox"].dataType if "bbox" in rows.columns else None
+    if isinstance(kind, T.StructType) and set(sides) <= set(kind.names):
+        xmin, ymin, xmax, ymax = (F.col(f"bbox.{side}") for side in sides)
+        return rows.where((xmin <= east) & (xmax >= west) & (ymin <= north) & (ymax >= south))
+    boxed = geometry_bounds(rows, geometry, "_box")
+    minx, miny, maxx, maxy = (F.col(f"_box.{side}") for side in ("minx", "miny", "maxx", "maxy"))
+    return boxed.where((minx <= east) & (maxx >= west) & (miny <= north) & (maxy >= south)).drop("_box")
 
 
 def read_stored(spark: SparkSession, root: str, inventory: DataFrame, schema: str | None = None) -> DataFrame:

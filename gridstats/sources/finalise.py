@@ -15,6 +15,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridstats.functions.curve import hilbert_key
 from gridstats.functions.wkb import geometry_bounds, is_finite
 from gridstats.operators.extent import BOX, box_columns
 from gridstats.plans.sizing import pin
@@ -29,6 +30,11 @@ from gridstats.sources.files import (
 )
 from gridstats.sources.tables import guard_target
 
+# The column that holds each row's box, and the footer member that names it to readers.
+COVERING = "bbox"
+COVERING_EXTRA = {"covering": {"bbox": {side: [COVERING, side] for side in ("xmin", "ymin", "xmax", "ymax")}}}
+# Rows of a row group in files that are ordered in space, so that a box meets few groups.
+SPATIAL_GROUP_ROWS = 50_000
 # Footer members that describe how grid edges are to be read.
 GRID_EXTRA = {"orientation": "counterclockwise", "edges": "spherical"}
 
@@ -98,11 +104,11 @@ def _open_parquet(handle) -> tuple[pq.ParquetFile, pa.Schema]:
     return file, schema
 
 
-def _merge_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _merge_task(batches: Iterator[pd.DataFrame], group_rows: int | None = None) -> Iterator[pd.DataFrame]:
     """Stream the sources of each target into it, one row group at a time.
 
     A target has the columns of all its sources, in the order they first occur, each with the type it has there; a source
-    without a column gives NULL.
+    without a column gives NULL. Row groups have at most ``group_rows`` rows, else those of the sources.
     """
     for batch in batches:
         rows = []
@@ -134,7 +140,7 @@ def _merge_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                                     if field.name not in table.schema.names:
                                         table = table.append_column(field, pa.nulls(table.num_rows, field.type))
                                 table = table.select(schema.names).cast(schema)
-                            writer.write_table(table.replace_schema_metadata(schema.metadata))
+                            writer.write_table(table.replace_schema_metadata(schema.metadata), row_group_size=group_rows)
                             count += table.num_rows
                 writer.close()
 
@@ -143,7 +149,7 @@ def _merge_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["target", "sources", "rows"])
 
 
-def _run(jobs: DataFrame) -> DataFrame:
+def _run(jobs: DataFrame, group_rows: int | None = None) -> DataFrame:
     """Do the file-level job once; ``target, sources, rows`` per written file."""
     spark = jobs.sparkSession
     merged = jobs.groupBy("target").agg(
@@ -151,7 +157,7 @@ def _run(jobs: DataFrame) -> DataFrame:
         F.first("geo").alias("geo"),
     )
     spread = max(spark.sparkContext.defaultParallelism, 1)
-    done = merged.repartition(spread, "target").mapInPandas(_merge_task, "target string, sources int, rows bigint")
+    done = merged.repartition(spread, "target").mapInPandas(lambda batches: _merge_task(batches, group_rows), "target string, sources int, rows bigint")
     return pin(done)
 
 
@@ -186,12 +192,16 @@ def consolidate_files(
     bbox_scope: str = "dataset",
     max_rows_per_file: int | None = None,
     extra: dict | None = None,
+    group_rows: int | None = None,
 ) -> DataFrame:
-    """Rewrite an existing dataset to one file per folder with the ``geo`` footer. Files keep their own columns."""
+    """Rewrite an existing dataset to one file per folder with the ``geo`` footer. Files keep their own columns.
+
+    Row groups stay as they are, or have at most ``group_rows`` rows.
+    """
     base = qualified(spark, guard_target(target))
     files = require_files(parquet_inventory(spark, source), source)
     jobs = _with_footers(spark, source, _folder_targets(files, base, max_rows_per_file), geometry, bbox_scope, extra)
-    return _run(jobs)
+    return _run(jobs, group_rows)
 
 
 def add_geo_metadata(
@@ -209,6 +219,28 @@ def add_geo_metadata(
     return _run(_with_footers(spark, source, named, geometry, bbox_scope, extra))
 
 
+def with_covering(df: DataFrame, geometry: str = "geometry") -> DataFrame:
+    """``df`` with a column ``bbox`` (xmin, ymin, xmax, ymax) of each geometry; NULL where there is none that is readable and
+    finite. A column of that name in ``df`` is replaced."""
+    given = df.drop(COVERING)
+    boxed = geometry_bounds(given, geometry, "_box")
+    sides = [F.col(f"_box.{side}") for side in BOX]
+    finite = is_finite(sides[0]) & is_finite(sides[1]) & is_finite(sides[2]) & is_finite(sides[3])
+    box = F.struct(*[side.alias(name) for side, name in zip(sides, ("xmin", "ymin", "xmax", "ymax"), strict=True)])
+    return boxed.select(*[F.col(f"`{c}`") for c in given.columns], F.when(finite, box).alias(COVERING))
+
+
+def ordered_in_space(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    """``df`` (with ``bbox``) ranged and sorted by partition values and then along a Hilbert curve through the boxes' centres.
+
+    The ranges come from a sample of the keys, so a folder that holds most rows is many ranges. Rows without a box come first.
+    """
+    x, y = ((F.col(f"{COVERING}.{a}") + F.col(f"{COVERING}.{b}")) / 2 for a, b in (("xmin", "xmax"), ("ymin", "ymax")))
+    keys = [*[F.col(f"`{c}`") for c in partition_by], F.col("_curve")]
+    placed = df.withColumn("_curve", hilbert_key(x, y))
+    return placed.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_curve")
+
+
 def consolidate(
     df: DataFrame,
     target: str,
@@ -218,20 +250,30 @@ def consolidate(
     bbox_scope: str = "dataset",
     max_rows_per_file: int | None = None,
     extra: dict | None = None,
+    spatial: bool = False,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Write ``df`` as one GeoParquet file per partition folder under ``target``.
 
     Rows go to ``staging`` first, rebalanced by partition value: a folder that holds most rows is written by
     many tasks, small folders by one. Returns ``target, sources, rows`` per final file.
+
+    ``spatial``: rows get a ``bbox`` column that the footer names as covering, and each file is ordered along a Hilbert curve
+    in row groups of ``group_rows`` (by default 50,000), so that ``read_geoparquet`` with a box reads few of them.
     """
     spark = df.sparkSession
     guard_target(target)
-    balanced = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+    if spatial:
+        balanced = ordered_in_space(with_covering(df, geometry), partition_by)
+        extra = {**COVERING_EXTRA, **(extra or {})}
+        group_rows = group_rows or SPATIAL_GROUP_ROWS
+    else:
+        balanced = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
     writer = balanced.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(guard_target(staging))
-    return consolidate_files(spark, staging, target, geometry, bbox_scope, max_rows_per_file, extra)
+    return consolidate_files(spark, staging, target, geometry, bbox_scope, max_rows_per_file, extra, group_rows)
 
 
 def write_grid_file(grid: DataFrame, target: str, staging: str) -> DataFrame:

@@ -455,6 +455,11 @@ ORACLE["consolidated_rows"] = (
     f"WITH {POINTS} SELECT id AS rowid, station, {rounded('speed', 'speed', 9)}, {rounded('lon', 'lon', 9)}, "
     f"{rounded('lat', 'lat', 9)} FROM points"
 )
+_IN_BOX = (
+    f"WITH {POINTS} SELECT id AS rowid, station, {rounded('speed', 'speed', 9)}, {rounded('lon', 'lon', 9)}, {rounded('lat', 'lat', 9)} "
+    "FROM points WHERE lon BETWEEN -9.25::double AND -8.9::double AND lat BETWEEN 42.2::double AND 42.55::double"
+)
+ORACLE["geoparquet_in_box"] = ORACLE["geoparquet_in_box_without_covering"] = _IN_BOX
 ORACLE["geo_footers"] = (
     f"WITH {POINTS} SELECT 'station=' || station || '/' || station || '.parquet' AS rel, 'geometry' AS primary_column, "
     f"'WKB' AS encoding, 'Point' AS types, {_WHOLE_BOX} FROM points GROUP BY station"

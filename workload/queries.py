@@ -454,6 +454,27 @@ def consolidated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(back.select("rowid", "station", "speed", "lon", "lat"), 9)
 
 
+# A box inside the points' range, for the box-pruned scans.
+BOX = (-9.25, 42.2, -8.9, 42.55)
+
+
+@query
+def geoparquet_in_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in a box, from files that are ordered in space and carry each row's box."""
+    base = scratch(spark)
+    rows = wkb_points(spark, sf_dir).select("rowid", "geometry", "speed", "station")
+    finalise.consolidate(rows, f"{base}/data", f"{base}/staging", ["station"], spatial=True)
+    back = decode_points(files.read_geoparquet(spark, f"{base}/data", BOX))
+    return tidy(back.select("rowid", "station", "speed", "lon", "lat"), 9)
+
+
+@query
+def geoparquet_in_box_without_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows from files that hold geometries only."""
+    back = decode_points(files.read_geoparquet(spark, _dataset(spark, sf_dir), BOX))
+    return tidy(back.select("rowid", "station", "speed", "lon", "lat"), 9)
+
+
 @query
 def geo_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
     box = [F.col("bbox")[k].alias(name) for k, name in enumerate(("minx", "miny", "maxx", "maxy"))]
