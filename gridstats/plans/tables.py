@@ -31,15 +31,19 @@ def link_tables(
     path: str,
     radius_km: float = DEFAULT_RADIUS_KM,
     default_db: str | None = None,
+    buckets: int | None = None,
     **layout,
 ) -> DataFrame:
-    """Table ``output`` of ``rowid, node_id`` at ``path`` from the tables ``data`` and ``grid``."""
+    """Table ``output`` of ``rowid, node_id`` at ``path`` from the tables ``data`` and ``grid``.
+
+    With ``buckets`` it is bucketed on ``rowid``; if ``data`` is, by the same number, statistics join both without an exchange.
+    """
     guard_target(path)
     require_tables(spark, data, grid, default_db=default_db)
     points = read_points(spark, data, [], default_db=default_db)
     links = link_to_grid(points, spark.table(resolve_table(grid, default_db)), radius_km, **layout)
     name = resolve_table(output, default_db)
-    write_table(links, name, path)
+    write_table(links, name, path, bucket_by=["rowid"] if buckets else (), buckets=buckets)
     return spark.table(name)
 
 

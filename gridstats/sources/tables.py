@@ -95,19 +95,34 @@ def guard_target(path: str) -> str:
 
 
 def write_table(
-    df: DataFrame, name: str | None, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
+    df: DataFrame,
+    name: str | None,
+    path: str,
+    partition_by: Sequence[str] = (),
+    mode: str = "overwrite",
+    bucket_by: Sequence[str] = (),
+    buckets: int | None = None,
 ) -> None:
     """Write Parquet at ``path`` and register it as table ``name`` (``None``: files only).
 
-    ``overwrite`` replaces both the files and the table entry.
+    ``overwrite`` replaces both the files and the table entry. With ``bucket_by`` the rows are dealt by a hash of these columns
+    into ``buckets`` files (of each partition), sorted by them: tables with the same columns and number join on them without
+    an exchange. Take as many buckets as give files of some hundred megabytes.
     """
+    if bool(bucket_by) != bool(buckets) or (bucket_by and name is None):
+        raise ValueError("buckets need columns, a number and a table name")
     target = guard_target(path)
     spark = df.sparkSession
     if name is not None and mode == "overwrite":
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if bucket_by:
+        # the exchange hashes as buckets do, so that each bucket is one task's and one file
+        df = df.repartition(buckets, *[F.col(f"`{c}`") for c in bucket_by])
     writer = df.write.mode(mode).format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     if name is None:
         writer.save(target)
     else:

@@ -148,7 +148,10 @@ def located(sql: str) -> str:
 ORACLE["agg_grid_exact"] = grid_stats(["speed", "temp"])
 ORACLE["agg_grid_fused"] = ORACLE["agg_grid_exact"]
 ORACLE["agg_grid_hot_split"] = ORACLE["agg_grid_exact"]
+ORACLE["agg_grid_bucketed"] = ORACLE["agg_grid_exact"]
 ORACLE["agg_grid_disc"] = grid_stats(["speed", "temp"], median="quantile_disc")
+# Sketches of groups of up to 500 rows are exact; these have fewer.
+ORACLE["agg_grid_approx"] = ORACLE["agg_grid_disc"]
 ORACLE["agg_grid_partitioned"] = grid_stats(["speed", "temp"], ["day", "node_id", "station"])
 ORACLE["agg_grid_wkb"] = grid_stats(["speed"])
 

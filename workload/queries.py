@@ -414,6 +414,17 @@ def statistics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(runs.finalise_table(spark, f"{data}_stats", f"{base}/final"))
 
 
+@query
+def agg_grid_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points and links in tables bucketed on the row id, joined bucket by bucket."""
+    base, mark, many = scratch(spark), uuid.uuid4().hex[:12], 8
+    tables.write_table(wkb_points(spark, sf_dir), f"points_{mark}", f"{base}/points", bucket_by=["rowid"], buckets=many)
+    tables.write_grid(grid(spark), f"grid_{mark}", f"{base}/grid")
+    runs.link_tables(spark, f"points_{mark}", f"grid_{mark}", f"links_{mark}", f"{base}/links", buckets=many)
+    names = (f"points_{mark}", f"links_{mark}", f"grid_{mark}", f"stats_{mark}")
+    return tidy(runs.statistics_tables(spark, *names, f"{base}/stats", ["speed", "temp"]))
+
+
 @query
 def agg_grid_repeated_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A grid whose rows occur twice counts as if they occurred once."""
