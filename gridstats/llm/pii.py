@@ -27,11 +27,10 @@ IPV4 = r"(?<![A-Za-z0-9.])\d{1,3}(?:\.\d{1,3}){3}(?![A-Za-z0-9]|\.\d)"
 PHONE = r"(?<![A-Za-z0-9+])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![A-Za-z0-9])"
 SSN = r"(?<![A-Za-z0-9-])\d{3}-\d{2}-\d{4}(?![A-Za-z0-9-])"
 DATE = r"(?<![A-Za-z0-9])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![A-Za-z0-9])"
-CARD = r"(?<![A-Za-z0-9])\d(?:[ -]?\d){12,18}(?![A-Za-z0-9])"
+# A run of digits that holds a telephone number of its own is no card.
+CARD = r"(?<![A-Za-z0-9])(?!(?:\d[ -]?){0,16}(?<!\d)\d{3}[ -]\d{3}[ -]\d{4}(?!\d))\d(?:[ -]?\d){12,18}(?![A-Za-z0-9])"
 ANY = "|".join([EMAIL, IPV4, SSN, DATE, CARD, PHONE])
-FIRST_DAY = "1900-01-01"
-DAYS = (200, 365)  # dates of the first 73,000 days from FIRST_DAY on are permuted among themselves
-# Dates with the day first, which only a day above 12 tells: the places of a year, and the leap days from 1904 to 2096.
+# Dates are permuted by year and place in the year, days above 12 apart from the others; the leap days from 1904 to 2096.
 FIRST_YEAR, YEARS, LEAPS = 1900, 200, (7, 7)
 LATE_DAYS = tuple(f"{day:02d}/{month:02d}" for month in range(1, 13) for day in range(13, monthrange(2023, month)[1] + 1))
 
@@ -179,35 +178,42 @@ def ssn(m: Column, secret: str, undo: bool) -> Column:
 
 
 def date(m: Column, secret: str, undo: bool) -> Column:
-    order = F.when(m.rlike(r"^\d{4}-"), "yyyy-MM-dd").when(m.rlike(r"^\d{4}/"), "yyyy/MM/dd").when(m.contains("."), "dd.MM.yyyy").otherwise("MM/dd/yyyy")
-    first = F.to_date(F.lit(FIRST_DAY))
-
-    def change(day: Column) -> Column:
-        halves = feistel(F.floor(day / DAYS[1]), F.pmod(day, F.lit(DAYS[1])), F.lit(DAYS[0]).cast("long"), F.lit(DAYS[1]).cast("long"), F.lit("date"), secret, undo)
-        new = let(halves, lambda h: F.date_add(first, (h["l"] * DAYS[1] + h["r"]).cast("int")))
-        named = lambda d: F.when(m.contains("."), F.date_format(d, "dd.MM.yyyy")).when(m.rlike("^[0-9]{4}-"), F.date_format(d, "yyyy-MM-dd")).when(m.rlike("^[0-9]{4}/"), F.date_format(d, "yyyy/MM/dd")).otherwise(F.date_format(d, "MM/dd/yyyy"))
-        return F.when((day >= 0) & (day < DAYS[0] * DAYS[1]), let(new, named))
-
-    month_first = let(F.datediff(F.try_to_timestamp(m, order).cast("date"), first), change)
-    return F.when(m.rlike(r"^(1[3-9]|[23]\d)/"), day_first(m, secret, undo)).otherwise(month_first)
-
-
-def day_first(m: Column, secret: str, undo: bool) -> Column:
-    """A slashed date whose first number is above 12, permuted among such dates."""
-    places = F.array(*[F.lit(d) for d in LATE_DAYS])
+    """A calendar date: days above 12 are permuted among themselves, the others too, and leap days as well, by year and place
+    in the year. So every form of one date becomes a form of one other, and a slashed date stays readable as it was."""
     size = lambda n: F.lit(n).cast("long")
-
-    def change(year: Column) -> Column:
-        own = F.array_position(places, F.substring(m, 1, 5)) - 1
-        halves = feistel(year - FIRST_YEAR, own, size(YEARS), size(len(LATE_DAYS)), F.lit("date:day"), secret, undo)
-        usual = let(halves, lambda h: F.concat_ws("/", F.get(places, h["r"].cast("int")), (h["l"] + FIRST_YEAR).cast("string")))
+    places = F.array(*[F.lit(d) for d in LATE_DAYS])
+    year_first = m.rlike(r"^\d{4}[-/]")
+    day_first = m.contains(".") | m.rlike(r"^(1[3-9]|[23]\d)/")
+    numbers = F.when(year_first, F.struct(F.substring(m, 9, 2).alias("d"), F.substring(m, 6, 2).alias("m"), F.substring(m, 1, 4).alias("y")))
+    numbers = numbers.when(day_first, F.struct(F.substring(m, 1, 2).alias("d"), F.substring(m, 4, 2).alias("m"), F.substring(m, 7, 4).alias("y")))
+    numbers = numbers.otherwise(F.struct(F.substring(m, 4, 2).alias("d"), F.substring(m, 1, 2).alias("m"), F.substring(m, 7, 4).alias("y")))
+
+    def written(new: Column) -> Column:
+        """``new``: year and dd/MM."""
+        day, month, year = F.substring(new["p"], 1, 2), F.substring(new["p"], 4, 2), new["y"].cast("string")
+        sep = F.when(year_first, F.substring(m, 5, 1)).otherwise(F.substring(m, 3, 1))
+        return F.when(year_first, F.concat(year, sep, month, sep, day)).when(day_first, F.concat(day, sep, month, sep, year)).otherwise(F.concat(month, sep, day, sep, year))
+
+    def result(halves: Column, year, place) -> Column:
+        return let(let(halves, lambda h: F.struct(year(h).alias("y"), place(h).alias("p"))), written)
+
+    def change(x: Column) -> Column:
+        day, month, year = x["d"].cast("int"), x["m"].cast("int"), x["y"].cast("long")
+        own = F.array_position(places, F.concat(x["d"], F.lit("/"), x["m"])) - 1
+        late = feistel(year - FIRST_YEAR, own, size(YEARS), size(len(LATE_DAYS)), F.lit("date:late"), secret, undo)
+        early = feistel(year - FIRST_YEAR, (month - 1) * 12 + day - 1, size(YEARS), size(144), F.lit("date:early"), secret, undo)
         leap = F.floor((year - 1904) / 4)
-        halves = feistel(F.floor(leap / LEAPS[1]), F.pmod(leap, F.lit(LEAPS[1])), size(LEAPS[0]), size(LEAPS[1]), F.lit("date:leap"), secret, undo)
-        leap_day = let(halves, lambda h: F.concat(F.lit("29/02/"), (1904 + 4 * (h["l"] * LEAPS[1] + h["r"])).cast("string")))
-        known = (year >= FIRST_YEAR) & (year < FIRST_YEAR + YEARS)
-        return F.when(known & (own >= 0), usual).when(known & m.startswith("29/02/") & F.try_to_timestamp(m, F.lit("dd/MM/yyyy")).isNotNull(), leap_day)
+        leaping = feistel(F.floor(leap / LEAPS[1]), F.pmod(leap, F.lit(LEAPS[1])), size(LEAPS[0]), size(LEAPS[1]), F.lit("date:leap"), secret, undo)
+        known = (year >= FIRST_YEAR) & (year < FIRST_YEAR + YEARS) & month.between(1, 12)
+        common = lambda h: h["l"] + FIRST_YEAR
+        of_early = lambda h: F.format_string("%02d/%02d", F.pmod(h["r"], F.lit(12)) + 1, F.floor(h["r"] / 12) + 1)
+        return (
+            F.when(known & day.between(1, 12), result(early, common, of_early))
+            .when(known & (own >= 0), result(late, common, lambda h: F.get(places, h["r"].cast("int"))))
+            .when(known & (day == 29) & (month == 2) & (year % 4 == 0) & (year > FIRST_YEAR), result(leaping, lambda h: 1904 + 4 * (h["l"] * LEAPS[1] + h["r"]), lambda h: F.lit("29/02")))
+        )
 
-    return let(whole(m, 7, 4), change)
+    return let(numbers, change)
 
 
 def card(m: Column, secret: str, undo: bool) -> Column:
@@ -238,8 +244,8 @@ def pseudonym(m: Column, secret: str, undo: bool = False) -> Column:
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | None = None, undo: bool = False, left: str | None = None) -> DataFrame:
     """``docs`` with the personal data of ``text`` replaced; ``count`` names a column for the number of replaced values.
 
-    A null text stays null with count 0. Dates outside of 1900-01-01 to 2099-11-12 (day first: to 2099-12-31) and values
-    that do not validate stay; ``left`` names a column for the list of those found and left. ``undo`` with the same key
+    A null text stays null with count 0, an empty one empty; texts are searched whole, however long. Dates outside of 1900 to
+    2099 and values that do not validate stay; ``left`` names a column for the list of those found and left. ``undo`` with the same key
     gives the texts back. Columns keep their order; columns named as ``count`` or ``left`` are replaced.
     """
     secret = secret_of(key)

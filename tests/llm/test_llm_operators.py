@@ -339,6 +339,35 @@ def test_pseudonyms_on_awkward_rows(spark):
     assert pii.pseudonymise(empty_docs(spark), "k").count() == 0
 
 
+def test_every_form_of_a_date_becomes_a_form_of_one_other(spark):
+    import datetime
+
+    days = [datetime.date(1900, 1, 1) + datetime.timedelta(days=k) for k in range(0, 73_049, 13)] + [datetime.date(2000, 2, 29), datetime.date(2099, 12, 31)]
+    forms = ["%Y-%m-%d", "%Y/%m/%d", "%d.%m.%Y", "%m/%d/%Y"]
+    rows = [(i, " and ".join([d.strftime(f) for f in [*forms, *(["%d/%m/%Y"] if d.day > 12 else [])]])) for i, d in enumerate(days)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    done = pii.pseudonymise(df, "k", count="n")
+    seen = set()
+    for r in done.collect():
+        parts = r["text"].split(" and ")
+        assert r["n"] == len(parts)
+        new = {datetime.datetime.strptime(p, f).date() for p, f in zip(parts, [*forms, "%d/%m/%Y"], strict=False)}
+        assert len(new) == 1, parts
+        seen |= new
+    assert len(seen) == len(set(days))
+    assert {r["doc_id"]: r["text"] for r in pii.pseudonymise(done.drop("n"), "k", undo=True).collect()} == dict(rows)
+
+
+def test_telephone_numbers_beside_other_digits_are_found(spark):
+    texts = ["2125551234 212-555-1234", "212-555-1234 212 555 9876", "4111 1111 1111 1111 and 4111111111111111", "7" * 200_000, "7 " * 100_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: (r["n"], r["text"]) for r in pii.pseudonymise(df, "k", count="n").collect()}
+    assert [found[k][0] for k in range(5)] == [1, 2, 2, 0, 0]
+    assert "212-555-1234" not in found[0][1] + found[1][1] and "212 555 9876" not in found[1][1]
+    a, b = found[2][1].split(" and ")
+    assert a.replace(" ", "") == b != "4111111111111111"
+
+
 # ---------------------------------------------------------------- 7: toxicity
 
 
