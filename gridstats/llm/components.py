@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridstats.llm.worker import tidied
 from gridstats.plans.sizing import spill
 
 
@@ -45,7 +46,7 @@ def components(links: DataFrame) -> DataFrame:
     Rounds grow with the logarithm of the number of links. Lineage is cut by a written table each round.
     """
     links = links.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u is not null and v is not null and u <> v")
-    links = spill(links.mapInArrow(contract, "u long, v long").distinct())
+    links = spill(links.mapInArrow(tidied(contract), "u long, v long").distinct())
     before = None
     while True:
         state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

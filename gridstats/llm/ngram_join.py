@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from gridstats.llm.components import components
 from gridstats.llm.sketch import counted
 from gridstats.llm.text import WordHasher, mix64, shingle_sets
+from gridstats.llm.worker import tidied
 from gridstats.plans.sizing import broadcast_if_small, spill
 
 # log2 of the number of counters that order the shingles, and of those that preselect documents to verify
@@ -78,7 +79,7 @@ def signatures(docs: DataFrame, width: int, percent: int, bits: int) -> DataFram
             )
 
     schema = "doc_id long, n long, d1 long, d2 long, token array<long>, salts array<int>"
-    return spill(docs.select("doc_id", "text").mapInArrow(sign, schema))
+    return spill(docs.select("doc_id", "text").mapInArrow(tidied(sign), schema))
 
 
 def overlapping(docs: DataFrame, pairs: DataFrame, width: int, percent: int, bits: int) -> DataFrame:
@@ -121,9 +122,9 @@ def overlapping(docs: DataFrame, pairs: DataFrame, width: int, percent: int, bit
         if pair and linked():
             yield as_pairs([pair])
 
-    own = docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(sets, "id long, tokens binary")
+    own = docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(tidied(sets), "id long, tokens binary")
     both = own.join(broadcast_if_small(sides), "id").select("u", "v", "side", "tokens").repartition("u", "v").sortWithinPartitions("u", "v")
-    return spill(both.mapInArrow(probe, "u long, v long"))
+    return spill(both.mapInArrow(tidied(probe), "u long, v long"))
 
 
 def as_pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:

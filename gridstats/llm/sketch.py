@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from gridstats.llm.worker import tidied
+
 BLOCK_BITS = 14
 
 
@@ -36,7 +38,7 @@ def counted(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarra
         return pa.table({"block": table["block"][:1], "counts": pa.array([narrow(total)], pa.binary())})
 
     schema = "block int, counts binary"
-    rows = df.mapInArrow(count, schema).groupBy("block").applyInArrow(add, schema).collect()
+    rows = df.mapInArrow(tidied(count), schema).groupBy("block").applyInArrow(add, schema).collect()
     total = np.zeros((size // block, block), np.int64)
     for row in rows:
         total[row["block"]] = widen(row["counts"], block)

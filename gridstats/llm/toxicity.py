@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridstats.llm.text import column_bytes, slices
+from gridstats.llm.worker import tidied
 from gridstats.plans.sizing import broadcast_if_small, spill
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -140,7 +141,7 @@ def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def ratios(labelled: DataFrame) -> tuple[dict[str, float], list[tuple[float, float]], float]:
     """(steps of the kept features, their (step, share of clean words), rows counted)."""
     spark = labelled.sparkSession
-    words = labelled.mapInArrow(word_counts, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    words = labelled.mapInArrow(tidied(word_counts), "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     words = spill(words)
     clean, toxic = (float(x or 0) for x in words.agg(F.sum("clean"), F.sum("toxic")).first())
     if not clean or not toxic:
@@ -211,7 +212,7 @@ def best_segments(docs: DataFrame, steps: dict[str, float], keep: list[str], tex
 
     kind = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType()), T.StructField("gain", T.DoubleType())]))
     added = [T.StructField("n_words", T.LongType()), T.StructField("best", T.DoubleType()), T.StructField("passages", kind)]
-    return docs.mapInArrow(run, T.StructType([*[docs.schema[c] for c in keep], *added]))
+    return docs.mapInArrow(tidied(run), T.StructType([*[docs.schema[c] for c in keep], *added]))
 
 
 def with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:

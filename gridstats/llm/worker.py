@@ -1,13 +1,16 @@
-"""What a Python worker keeps from one task to the next."""
+"""What a Python worker keeps from one task to the next, and what it gives back."""
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from types import ModuleType
 from typing import Any
 
+import pyarrow as pa
+
 _PLACE = "gridstats_worker_state"
 
 
@@ -22,3 +25,17 @@ def kept(name: str, content: str, make: Callable[[str], Any]) -> Any:
     if name not in place or place[name][0] != mark:
         place[name] = mark, make(content)
     return place[name][1]
+
+
+def tidied(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work``, after which the worker gives its free memory back: workers stay alive beside the stages that follow, and
+    what their allocators hold would count against the executor all the time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only the GNU library has it
+        if trim is not None:
+            trim(0)
+
+    return run
