@@ -49,12 +49,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose text holds no benchmark item, replaced words allowed for."""
+    """Rows whose text holds no benchmark item, replaced words allowed for. Null and empty texts hold none and stay."""
     return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, with pseudonyms for personal data in ``text`` and ``n_chars`` counted anew."""
+    """All rows, with pseudonyms for personal data in ``text`` and ``n_chars`` counted anew. Null texts stay null and keep their
+    ``n_chars``, empty ones stay empty."""
     hidden = pseudonymise(docs, PSEUDONYM_KEY)
     if "n_chars" not in docs.columns:
         return hidden
@@ -63,7 +64,7 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows with ``token_ids`` and ``n_tokens``; columns of these names are replaced."""
+    """All rows with ``token_ids`` and ``n_tokens``; columns of these names are replaced. Null and empty texts have no ids."""
     done = encode(docs.drop("n_tokens"), public_tokenizers.path(TOKENIZER))
     return done.withColumn("n_tokens", F.size("token_ids").cast("long"))
 
@@ -76,7 +77,7 @@ STAGES = [
     ("bpe", to_tokens),
 ]
 
-# No stage but the third can be said in SQL; the tests compare each with a brute-force version.
+# No stage but the third can be said in SQL; the tests look at planted and awkward rows of each stage.
 ORACLE_SQL = None
 
 
