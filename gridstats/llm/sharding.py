@@ -24,7 +24,8 @@ from gridstats.plans.sizing import spill
 PROBES = 32  # new probes in each round for a boundary that is not yet placed
 TOLERANCE = 0.001  # of a shard's bytes
 SPLIT = 0.01  # of a shard's bytes: rows of one hash are parted only if the boundary beside them is further off
-RANGE_ROWS = 500_000  # about so many rows are sorted by one task
+RANGE_ROWS = 500_000  # about so many rows, and
+RANGE_BYTES = 64 << 20  # about so many bytes, are one range of the sort
 
 # A place in the order is a number below 2 ** 128: the text's hash, then the row's number, both shifted to be positive.
 HASH = 1 << 64
@@ -107,26 +108,38 @@ def splitters(rows: DataFrame, shards: int, many: int, total: int, tolerance: fl
     return [low if goal - before[1] <= after[1] - goal else high for goal, (low, before, high, after) in zip(wanted, spans, strict=True)]
 
 
-def ranges(rows: DataFrame, edges: list[int], many: int, most: int) -> tuple[list[int], list[int]]:
-    """(all edges, rows before each): ``edges`` and further ones, until no range has many more than ``most`` rows."""
+def ranges(rows: DataFrame, edges: list[int], many: int, total: int, most: int, most_bytes: int) -> tuple[list[int], list[int]]:
+    """(all edges, rows before each): ``edges`` and further ones, until no range but a single row's has more than twice
+    ``most`` rows or ``most_bytes`` bytes."""
     edges = sorted({0, *[e for e in edges if e < END]})
     while True:
-        before = [int(n) for n, _ in below(rows, edges)]
+        before = [(int(n), int(size)) for n, size in below(rows, edges)]
         more: set[int] = set()
-        for low, high, first, last in zip(edges, [*edges[1:], END], before, [*before[1:], many], strict=True):
-            if last - first > 2 * most and high - low > 1:
-                more |= between(low, high, (last - first) // most + 1)
+        for low, high, first, last in zip(edges, [*edges[1:], END], before, [*before[1:], (many, total)], strict=True):
+            own, size = last[0] - first[0], last[1] - first[1]
+            parts = max(own / most, size / most_bytes)
+            if parts > 2 and own > 1 and high - low > 1:
+                more |= between(low, high, min(int(parts) + 1, own))
         if not more:
-            return edges, before
+            return edges, [n for n, _ in before]
         edges = sorted({*edges, *more})
 
 
-def shard(docs: DataFrame, shards: int, group: Column, size: Column, tolerance: float = TOLERANCE, most: int = RANGE_ROWS) -> DataFrame:
+def shard(
+    docs: DataFrame,
+    shards: int,
+    group: Column,
+    size: Column,
+    tolerance: float = TOLERANCE,
+    most: int = RANGE_ROWS,
+    most_bytes: int = RANGE_BYTES,
+) -> DataFrame:
     """``docs`` with ``shard`` (from 0) and ``slot`` (from 0, without gaps, in each shard), by nearly equal sums of ``size``.
 
     ``group`` is a hash; rows of one hash stay together if the tolerance allows. A single row larger than a shard gets
     one that is too large; with fewer rows than shards some stay empty. Repeated rows are rows like others. All given
-    columns are written once and exchanged once. Columns named shard or slot are replaced.
+    columns are written once and exchanged once. Columns named shard or slot are replaced. A very long text is one row of
+    one range, whatever the bounds on ranges; nulls count as the given ``size`` says.
     """
     names = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
     kept = [f"_c{i}" for i in range(len(names))]
@@ -134,7 +147,7 @@ def shard(docs: DataFrame, shards: int, group: Column, size: Column, tolerance:
     rows = spill(rows.withColumn("_k2", F.xxhash64(F.monotonically_increasing_id())).select(*kept, *OWN))
     many, total = rows.agg(F.count("*"), F.coalesce(F.sum("_size"), F.lit(0))).first()
     cuts = splitters(rows, shards, many, total, tolerance)
-    edges, before = ranges(rows, cuts, many, most)
+    edges, before = ranges(rows, cuts, many, total, most, most_bytes)
     # a range belongs to the shard whose cuts are at or before it
     owner = [sum(c <= e for c in cuts) for e in edges]
     first = [min(b for b, o in zip(before, owner, strict=True) if o == own) for own in owner]

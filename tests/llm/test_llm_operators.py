@@ -500,6 +500,29 @@ def test_shards_of_awkward_rows(spark):
     assert sorted(Counter(r["shard"] for r in shard_rows(same, 16)).values()) == [4] * 16
 
 
+def test_shard_ranges_are_bounded_by_rows_and_bytes(spark):
+    """Against every row in order: places, counts and the size of each range, with a text of many rows and a huge one."""
+    rng = random.Random(4)
+    given = [(rng.getrandbits(64) - (1 << 63), rng.getrandbits(64) - (1 << 63), rng.randint(1, 50)) for _ in range(2000)]
+    given += [(12345, rng.getrandbits(64) - (1 << 63), 9) for _ in range(700)] + [(-77, 5, 100_000)]
+    rows = spark.createDataFrame(given, "_k1 long, _k2 long, _size long")
+    total = sum(g[2] for g in given)
+    place = sorted(((k1 + (1 << 63)) * sharding.HASH + k2 + (1 << 63), size) for k1, k2, size in given)
+    for most, most_bytes in ((100, 1 << 40), (1 << 40, 3000), (200, 2000)):
+        edges, before = sharding.ranges(rows, [1 << 126, 1 << 127], len(given), total, most, most_bytes)
+        assert {0, 1 << 126, 1 << 127} <= set(edges)
+        for low, high, first in zip(edges, [*edges[1:], sharding.END], before, strict=True):
+            inside = [size for p, size in place if low <= p < high]
+            assert first == sum(p < low for p, _ in place)
+            assert len(inside) <= 1 or (len(inside) <= 2 * most and sum(inside) <= 2 * most_bytes)
+
+
+def test_shards_do_not_depend_on_ranges(spark):
+    texts = spark.createDataFrame([(i, f"text {i % 400} " * (1 + i % 13)) for i in range(3000)], "doc_id long, text string")
+    one, many = (shard_rows(texts, 16, **more) for more in ({}, {"most_bytes": 2000}))
+    assert {(r["doc_id"], r["shard"], r["slot"]) for r in one} == {(r["doc_id"], r["shard"], r["slot"]) for r in many}
+
+
 def test_shards_query_derives_its_digests_from_sharded_texts(spark, sf_dir, monkeypatch):
     given, seen = sharding.shard, []
     monkeypatch.setattr(queries, "shard", lambda docs, *args: seen.append((docs.columns, given(docs, *args))) or seen[-1][1].withColumn("text", F.lit("abc")))
