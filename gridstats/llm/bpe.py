@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from gridstats.llm.text import column_bytes, slices
-from gridstats.llm.worker import kept
+from gridstats.llm.worker import kept, tidied
 
 END = "\0"  # stands for the word end; byte-level strings cannot hold it
-WORD_ENTRIES = 200_000  # words remembered by a worker, and as many older ones; only saves time
+WORD_ENTRIES = 100_000  # words remembered by a worker, and as many older ones; only saves time
 
 
 def byte_letters() -> list[str]:
@@ -107,7 +107,7 @@ class Vocabulary:
         key = left, right
         known = self.fits.get(key)
         if known is None:
-            if len(self.fits) > 500_000:
+            if len(self.fits) > 200_000:
                 self.fits.clear()
             known = self.fits[key] = self.compatible(left, right)
         return known
@@ -268,4 +268,4 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *added])
 
     fields = [T.StructField(ids, T.ArrayType(T.IntegerType())), *([T.StructField(decoded, T.StringType())] if decoded else [])]
-    return docs.mapInArrow(tokens, T.StructType([*docs.schema.fields, *fields]))
+    return docs.mapInArrow(tidied(tokens), T.StructType([*docs.schema.fields, *fields]))
