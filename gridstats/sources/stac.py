@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Mapping, Sequence
+from datetime import date
 from typing import Any
 
 import pandas as pd
@@ -77,8 +78,35 @@ def _first_range(moments: DataFrame, by: Sequence[str], present: Sequence[str])
 _STORED_TIMES = "uri string, candidate int, moment timestamp_ntz, text string"
 
 
+def _is_time(kind: pa.DataType) -> bool:
+    return pt.is_timestamp(kind) or pt.is_date(kind)
+
+
+def _footer_ends(file: pq.ParquetFile, group: int, name: str) -> pa.Array | None:
+    """First and last value of a time column in a row group by the footer's statistics, none if it has only NULLs.
+
+    ``None`` when the footer does not tell.
+    """
+    stored = file.metadata.row_group(group)
+    for k in range(stored.num_columns):
+        column = stored.column(k)
+        if column.path_in_schema != name:
+            continue
+        known = column.statistics
+        if known is None:
+            return None
+        if known.has_null_count and known.null_count == stored.num_rows:
+            return pa.array([], pa.timestamp("us"))
+        if known.has_min_max and isinstance(known.min, date):
+            return pa.array([known.min, known.max])
+    return None
+
+
 def _stored_times(candidates: Sequence[str]):
-    """Per file, row group and candidate column: first and last moment, or the distinct texts of a text column."""
+    """Per file, row group and candidate column: first and last moment, or the distinct texts of a text column.
+
+    Moments come from the footer; a column is read where its statistics are missing, and texts always are.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,14 +117,18 @@ def _stored_times(candidates: Sequence[str]):
                     for k, name in enumerate(candidates):
                         if name not in file.schema_arrow.names:
                             continue
+                        kind = file.schema_arrow.field(name).type
                         for group in range(file.num_row_groups):
-                            column = file.read_row_group(group, columns=[name]).column(0)
                             moments, texts = [], []
-                            if pt.is_string(column.type) or pt.is_large_string(column.type):
-                                texts = column.unique().drop_null().to_pylist()
-                            elif pt.is_timestamp(column.type) or pt.is_date(column.type):
+                            if pt.is_string(kind) or pt.is_large_string(kind):
+                                texts = file.read_row_group(group, columns=[name]).column(0).unique().drop_null().to_pylist()
+                            elif _is_time(kind):
+                                column = _footer_ends(file, group, name)
+                                if column is None:
+                                    column = file.read_row_group(group, columns=[name]).column(0)
                                 ends = pc.min_max(column.cast(pa.timestamp("us", getattr(column.type, "tz", None)), safe=False))
-                                moments = [v.as_py().replace(tzinfo=None) for v in ends.values() if v.is_valid]
+                                # a zoned column tells its wall clock; moments are UTC
+                                moments = [v.cast(pa.timestamp("us")).as_py() for v in ends.values() if v.is_valid]
                             n = len(moments) + len(texts)
                             yield pa.record_batch(
                                 {
@@ -111,7 +143,7 @@ def _stored_times(candidates: Sequence[str]):
 
 
 def file_times(files: DataFrame, candidates: Sequence[str] = TIME_CANDIDATES) -> DataFrame:
-    """``_uri``, ``start_time``, ``end_time`` of the files in an inventory, each read with the types it has itself."""
+    """``_uri``, ``start_time``, ``end_time`` of the files in an inventory, each with the types it has itself; from footers where they tell."""
     spread = max(files.sparkSession.sparkContext.defaultParallelism, 1)
     rows = files.select("path", "uri").repartition(spread, "path").mapInArrow(_stored_times(candidates), _STORED_TIMES)
     moment = F.coalesce("moment", utc_time(F.col("text"), T.StringType()))
