@@ -268,4 +268,4 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *added])
 
     fields = [T.StructField(ids, T.ArrayType(T.IntegerType())), *([T.StructField(decoded, T.StringType())] if decoded else [])]
-    return docs.mapInArrow(tidied(tokens), T.StructType([*docs.schema.fields, *fields]))
+    return docs.mapInArrow(tidied(tokens, keeps="bpe"), T.StructType([*docs.schema.fields, *fields]))

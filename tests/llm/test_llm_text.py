@@ -10,6 +10,7 @@ import pytest
 from gridstats.llm import text as T
 from gridstats.llm.components import components
 from gridstats.llm.sketch import counted
+from gridstats.llm.worker import kept, tidied
 
 WORDS = re.compile(r"[^\x20\x09-\x0d]+")
 
@@ -85,3 +86,17 @@ def test_word_patterns_agree_where_they_overlap():
     texts += ["".join(rng.choice(latin + list("'s't're ' ")) for _ in range(40)) for _ in range(2000)]
     for text in texts:
         assert bpe.words_of(text) == bpe.WORDS.findall(text), text
+
+
+def test_worker_drops_what_other_work_kept():
+    made = []
+
+    def make(content):
+        made.append(content)
+        return content.upper()
+
+    same = tidied(lambda batches: (kept("words", "a", make) for _ in batches), keeps="words")
+    other = tidied(lambda batches: batches)
+    assert list(same(iter([1, 2]))) == ["A", "A"] and list(same(iter([3]))) == ["A"] and made == ["a"]
+    assert list(other(iter([4]))) == [4]
+    assert list(same(iter([5]))) == ["A"] and made == ["a", "a"]
