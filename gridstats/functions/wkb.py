@@ -273,11 +273,22 @@ def geometry_bounds(df: DataFrame, geometry: str = "geometry", into: str = "boun
     )
 
 
-def geometry_type(geometry: Column) -> Column:
-    """Geometry name from the WKB header alone (native; any byte order, Z/M and SRID flags)."""
+def _type_code(geometry: Column) -> Column:
+    """The type number of a WKB header with its flags, in either byte order."""
     digits = F.hex(geometry)
     code = F.substring(digits, 3, 8)
     swapped = F.concat(*[F.substring(code, 7 - 2 * k, 2) for k in range(4)])
-    number = F.conv(F.when(F.substring(digits, 1, 2) == "01", swapped).otherwise(code), 16, 10).cast("long")
+    return F.conv(F.when(F.substring(digits, 1, 2) == "01", swapped).otherwise(code), 16, 10).cast("long")
+
+
+def geometry_type(geometry: Column) -> Column:
+    """Geometry name from the WKB header alone (native; any byte order, Z/M and SRID flags)."""
     names = F.create_map(*[F.lit(v) for pair in GEOMETRY_NAMES.items() for v in pair])
-    return F.try_element_at(names, (number.bitwiseAND(0x0FFFFFFF) % 1000).cast("int"))
+    return F.try_element_at(names, (_type_code(geometry).bitwiseAND(0x0FFFFFFF) % 1000).cast("int"))
+
+
+def is_whole_point(geometry: Column) -> Column:
+    """Whether WKB has a point's header and is long enough for its coordinates, whatever these are."""
+    ordered = F.substring(F.hex(F.substring(geometry, 1, 1)), 1, 2).isin("00", "01")
+    need = F.when(_type_code(geometry).bitwiseAND(_SRID_FLAG) != 0, _POINT_BYTES + 4).otherwise(_POINT_BYTES)
+    return ordered & (geometry_type(geometry) == "Point") & (F.octet_length(geometry) >= need)

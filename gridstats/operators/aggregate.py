@@ -11,12 +11,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from gridstats.constants import DEFAULT_RADIUS_KM, UNIT_WEIGHT
 from gridstats.functions.geo import angle_deg, dispersion, projection_factor, sin_cos
 from gridstats.functions.wkb import decode_points, point_wkb
+from gridstats.operators.faults import observe_faults
 from gridstats.operators.link import pair_points
 from gridstats.operators.medians import median_column, quantile_sketch, sketched_middles, split_medians
 from gridstats.plans.sizing import broadcast_if_small, fits_broadcast, spill
@@ -195,10 +196,16 @@ def _rows(
     radius_km: float,
     hot_rows: int | None,
     small_grid: bool,
+    dropped: Observation | None = None,
 ) -> DataFrame:
-    """One row per (point, node) with keys and ``carried`` columns; rows with a NULL key drop out."""
+    """One row per (point, node) with keys and ``carried`` columns; rows with a NULL key drop out, counted by ``dropped``."""
     wanted = list(dict.fromkeys([*shape.keys, *carried]))
     require_columns(points, [c for c in wanted if c not in ("lon", "lat")])
+    if dropped is not None:
+        # an observed row is read whole, so only the needed columns are in it
+        places = [c for c in ("rowid", "geometry", "lon", "lat") if c in points.columns]
+        points = points.select(*_quoted(dict.fromkeys([*places, *[c for c in wanted if c in points.columns]])))
+        points = observe_faults(points, dropped, shape.keys)
     points = _present(points, shape.keys)
     if links is None:
         pairs = pair_points(
@@ -252,17 +259,19 @@ def aggregate_grid(
     median: str = "exact",
     radius_km: float = DEFAULT_RADIUS_KM,
     hot_rows: int | None = HOT_ROWS,
+    dropped: Observation | None = None,
 ) -> DataFrame:
     """Statistics per time, node and partition columns.
 
     ``links=None`` pairs points and nodes on the fly within ``radius_km``: the points are then neither
     written nor shuffled before the grouping. ``n`` counts all rows of a group, ``<column>_n`` the
-    non-NULL ones. Rows with a NULL time or partition value are dropped.
+    non-NULL ones. Rows with a NULL time or partition value are dropped. ``dropped`` is filled with the numbers of rows
+    read and left out, by reason (``faults``), by the pass that makes the statistics.
     """
     columns = _names(columns)
     shape = _shape(points, time, partition_by)
     small = fits_broadcast(grid)
-    rows = _rows(points, links, grid, columns, shape, radius_km, hot_rows, small)
+    rows = _rows(points, links, grid, columns, shape, radius_km, hot_rows, small, dropped)
     bound = _rows_bound(points, shape.keys, hot_rows)
     stats = group_stats(rows, [*shape.keys, "node_id"], columns, median, hot_rows, bound)
     nodes = _nodes(grid).select("node_id", "geometry")
@@ -338,6 +347,7 @@ def aggregate_direction(
     median: str = "exact",
     radius_km: float = DEFAULT_RADIUS_KM,
     hot_rows: int | None = HOT_ROWS,
+    dropped: Observation | None = None,
 ) -> DataFrame:
     """``aggregate_grid`` with angle columns, optionally weighted by magnitudes; one lazy plan.
 
@@ -346,14 +356,14 @@ def aggregate_direction(
     """
     angles = pair_angles(directions, magnitudes)
     if not angles:
-        return aggregate_grid(points, links, grid, columns, time, partition_by, median, radius_km, hot_rows)
+        return aggregate_grid(points, links, grid, columns, time, partition_by, median, radius_km, hot_rows, dropped)
     scalars = [c for c in _names(columns) if c not in {a.name for a in angles}]
     shape = _shape(points, time, partition_by)
     small = fits_broadcast(grid)
     weights = [a.magnitude for a in angles if a.magnitude]
     carried = list(dict.fromkeys([*scalars, *weights, *[a.name for a in angles]]))
     # components are made after the pairing, so two doubles less per angle pass through the join
-    rows = with_components(_rows(points, links, grid, carried, shape, radius_km, hot_rows, small), angles)
+    rows = with_components(_rows(points, links, grid, carried, shape, radius_km, hot_rows, small, dropped), angles)
     measured = list(dict.fromkeys([*scalars, *weights, *[c for a in angles for c in (a.sin, a.cos)]]))
     keys = [*shape.keys, "node_id"]
     rows = rows.select(*_quoted(keys), *_quoted(measured))
@@ -382,6 +392,7 @@ def aggregate_projection(
     median: str = "exact",
     radius_km: float = DEFAULT_RADIUS_KM,
     hot_rows: int | None = HOT_ROWS,
+    dropped: Observation | None = None,
 ) -> DataFrame:
     """``aggregate_grid`` after turning one column toward a fixed point.
 
@@ -393,7 +404,7 @@ def aggregate_projection(
         raise ValueError("the projected column must be one of the columns")
     shape = _shape(points, time, partition_by)
     small = fits_broadcast(grid)
-    rows = _rows(points, links, grid, [*columns, "lon", "lat"], shape, radius_km, hot_rows, small)
+    rows = _rows(points, links, grid, [*columns, "lon", "lat"], shape, radius_km, hot_rows, small, dropped)
     nodes = decode_points(_nodes(grid)).select(
         "node_id", "geometry", F.col("lon").alias("_node_lon"), F.col("lat").alias("_node_lat")
     )

@@ -525,3 +525,27 @@ ORACLE["asset_time_range_mixed"] = (
 for _name in [n for n in ORACLE if n.startswith("agg_") and n != "agg_mad" and "node_id" in ORACLE[n]]:
     ORACLE[_name] = located(ORACLE[_name])
 ORACLE["statistics_table"] = ORACLE["agg_grid_partitioned"]
+
+_FAULTS = (
+    "count(*) AS rows, count(*) FILTER (event_id % 13 = 0) AS missing_geometry, "
+    "count(*) FILTER (event_id % 13 IN (1, 3)) AS unreadable_geometry, count(*) FILTER (event_id % 13 = 2) AS non_finite, "
+    "count(*) FILTER (event_id % 13 > 3 AND event_id % 11 = 0) AS missing_key FROM events"
+)
+ORACLE["faults_by_station"] = f"SELECT event_type AS station, {_FAULTS} GROUP BY event_type"
+
+
+def of_rows(sql: str, events: str) -> str:
+    """The statistics with other rows than all events."""
+    return located(sql.replace("FROM events e)", f"FROM ({events}) e)"))
+
+
+ORACLE["statistics_with_faults"] = (
+    f"SELECT * FROM ({of_rows(grid_stats(['speed']), 'SELECT * FROM events WHERE event_id % 13 > 3 AND event_id % 11 <> 0')}) "
+    f"CROSS JOIN (SELECT {_FAULTS})"
+)
+ORACLE["statistics_refreshed"] = of_rows(
+    grid_stats(["speed", "temp"], ["day", "node_id", "station"]),
+    "WITH places AS (SELECT *, dense_rank() OVER (ORDER BY event_type) AS place FROM events) "
+    "SELECT * FROM places WHERE place > 3 OR place = 1 OR (place = 2 AND event_id % 3 = 0) "
+    "UNION ALL SELECT * FROM places WHERE place = 1 AND event_id % 2 = 0",
+)

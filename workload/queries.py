@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridstats.constants import DEFAULT_RADIUS_KM
@@ -14,12 +14,12 @@ from gridstats.functions.polygon import edge_sums
 from gridstats.functions.text import rfc3339, utc_time
 from gridstats.functions.utm import utm_forward, utm_inverse, utm_zone
 from gridstats.functions.wkb import decode_points, geometry_type, point_wkb, wkb_x, wkb_y
-from gridstats.operators import aggregate, clip, dedupe, extent, hull, link
+from gridstats.operators import aggregate, clip, dedupe, extent, faults, hull, link
 from gridstats.operators import grid as grids
 from gridstats.plans import tables as runs
 from gridstats.plans.pipeline import footprint_statistics
-from gridstats.plans.sizing import checkpoint_folder
-from gridstats.sources import files, finalise, geojson, nodes, stac, tables
+from gridstats.plans.sizing import checkpoint_folder, spill
+from gridstats.sources import changes, files, finalise, geojson, nodes, stac, tables
 from workload.points import (
     POINT_LAT,
     POINT_LON,
@@ -441,6 +441,55 @@ def wkb_decode_srid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(both, 9)
 
 
+def _faulty_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points, of which some have no geometry, a broken one, coordinates that are no numbers, another kind, or no time."""
+    n = F.col("rowid") % 13
+    nowhere = point_wkb(F.lit(float("nan")), F.lit(1.0))
+    kinds = (
+        F.when(n == 0, None)
+        .when(n == 1, F.substring("geometry", 1, 9))
+        .when(n == 2, nowhere)
+        .when(n == 3, F.unhex(F.lit("010200000000000000")))
+        .otherwise(F.col("geometry"))
+    )
+    rows = wkb_points(spark, sf_dir).withColumn("geometry", kinds)
+    return rows.withColumn("timestamp", F.when(F.col("rowid") % 11 != 0, F.col("timestamp")))
+
+
+@query
+def faults_by_station(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that cannot enter statistics, by reason."""
+    return faults.count_faults(_faulty_points(spark, sf_dir), ["timestamp"], ["station"])
+
+
+@query
+def statistics_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of a table with faulty rows, and the counts that the same pass gave, on every row."""
+    base, mark = scratch(spark), uuid.uuid4().hex[:12]
+    tables.write_table(_faulty_points(spark, sf_dir), f"points_{mark}", f"{base}/points", ["station"])
+    tables.write_grid(grid(spark), f"grid_{mark}", f"{base}/grid")
+    dropped = Observation("dropped")
+    names = (f"points_{mark}", None, f"grid_{mark}", f"stats_{mark}", f"{base}/stats")
+    made = runs.statistics_tables(spark, *names, ["speed"], dropped=dropped)
+    return tidy(made.withColumns({k: F.lit(v) for k, v in dropped.get.items()}))
+
+
+@query
+def statistics_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of a table after rows came to one partition, another went, and a third was written anew."""
+    base, data, nodes_table = _tables(spark, sf_dir)
+    args = (spark, data, None, nodes_table, f"{data}_stats", f"{base}/stats", ["speed", "temp"], ["station"])
+    runs.refresh_statistics(*args)
+    names = [r[0] for r in spark.table(data).select("station").distinct().orderBy("station").collect()]
+    rows = spark.read.schema(spark.table(data).schema).parquet(f"{base}/points")
+    more = spill(rows.where(F.col("station") == names[0]).where("rowid % 2 = 0").withColumn("rowid", -F.col("rowid")))
+    more.write.mode("append").partitionBy("station").parquet(f"{base}/points")
+    less = spill(rows.where(F.col("station") == names[1]).where("rowid % 3 = 0"))
+    changes.overwrite_partitions(less, f"{base}/points", ["station"])
+    changes.drop_stale(spark, data, spark.createDataFrame([(names[2],)], "station string"), ["station"])
+    return tidy(runs.refresh_statistics(*args))
+
+
 # ---------------------------------------------------------------- files and catalogs
 
 
