@@ -35,7 +35,8 @@ def ring_edges(rings: Column) -> Column:
     return F.flatten(F.transform(rings, of_ring))
 
 
-def _side(e: Column, x: Column, y: Column) -> Column:
+def side_of(e: Column, x: Column, y: Column) -> Column:
+    """Positive left of an edge, negative right of it, zero on its line."""
     return (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
 
 
@@ -47,14 +48,14 @@ def covers_by_edges(edges: Column, x: Column, y: Column) -> Column:
 
     def touches(e: Column) -> Column:
         return (
-            (_side(e, x, y) == 0)
+            (side_of(e, x, y) == 0)
             & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
             & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
         )
 
     def crossed(e: Column) -> Column:
-        up = (e["y1"] <= y) & (y < e["y2"]) & (_side(e, x, y) > 0)
-        down = (e["y2"] <= y) & (y < e["y1"]) & (_side(e, x, y) < 0)
+        up = (e["y1"] <= y) & (y < e["y2"]) & (side_of(e, x, y) > 0)
+        down = (e["y2"] <= y) & (y < e["y1"]) & (side_of(e, x, y) < 0)
         return up | down
 
     return F.exists(edges, touches) | (F.size(F.filter(edges, crossed)) % 2 == 1)
