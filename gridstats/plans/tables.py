@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -178,17 +179,22 @@ def refresh_statistics(
 
 
 def finalise_table(spark: SparkSession, name: str, target: str, default_db: str | None = None, **options) -> DataFrame:
-    """Consolidate the files of a table into ``target``, one GeoParquet file per folder, and let the table read them."""
+    """Consolidate the files of a table into ``target``, one GeoParquet file per folder, and let the table read them.
+
+    A failure before the new table is whole leaves the old one as it was.
+    """
     name = resolve_table(name, default_db)
     require_tables(spark, name)
     parts = partition_columns(spark, name)
     schema = spark.table(name).schema
     location = next(r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r["col_name"] == "Location")
     consolidate_files(spark, location, target, **options)
-    # the files of the old location stay until someone removes them
-    spark.sql(f"DROP TABLE {name}")
+    # whole under a name of its own before the old entry goes; the files of the old location stay until someone removes them
+    made = f"{name}_{uuid.uuid4().hex[:8]}"
     options_sql = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)})" if parts else ""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet{options_sql} LOCATION '{guard_target(target)}'")
-    repair(spark, name)
+    spark.sql(f"CREATE TABLE {made} ({fields}) USING parquet{options_sql} LOCATION '{guard_target(target)}'")
+    repair(spark, made)
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"ALTER TABLE {made} RENAME TO {name}")
     return spark.table(name)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridstats.functions.wkb import point_wkb
 from gridstats.operators.faults import FAULTS, count_faults, observe_faults
-from gridstats.plans.tables import refresh_statistics, statistics_tables
+from gridstats.plans.tables import finalise_table, refresh_statistics, statistics_tables
 from gridstats.sources.changes import changed_partitions, drop_stale, overwrite_partitions, within_partitions
 from gridstats.sources.tables import write_grid, write_table
 
@@ -171,3 +171,25 @@ def test_changed_partitions(spark):
     assert {r[0] for r in changed_partitions(before, now, ["day"]).collect()} == {"b", "c", "d"}
     values = spark.createDataFrame([("b",)], "day string")
     assert within_partitions(now, values).count() == 1 and within_partitions(now, values.limit(0)).count() == 0
+
+
+def test_table_stays_until_its_consolidated_files_are_registered(spark, station, monkeypatch):
+    rows, refresh, whole, files, base = station
+    expected = sorted(map(str, refresh().collect()))
+    import gridstats.plans.tables as plans
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(plans, "repair", broken)
+        with pytest.raises(OSError, match="lost"):
+            finalise_table(spark, "refresh_stats", f"{base}/lost")
+    assert sorted(map(str, spark.table("refresh_stats").collect())) == expected
+    assert sorted(map(str, finalise_table(spark, "refresh_stats", f"{base}/final").collect())) == expected
+    assert all("/final/" in f for f in spark.table("refresh_stats").inputFiles())
+    # the table has moved, so what was noted beside the old files no longer counts
+    assert sorted(map(str, refresh().collect())) == whole()
+    for table in spark.catalog.listTables():
+        if table.name.startswith("refresh_stats_"):
+            spark.sql(f"DROP TABLE {table.name}")
