@@ -19,17 +19,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridstats.constants import APPROX_ACCURACY
-from gridstats.functions.binding import let
 from gridstats.plans.sizing import broadcast_if_small, pin
 from gridstats.plans.skew import running_total
 
 BUCKETS = 1024
-SKETCH_POINTS = 1000
 _MARGIN = 0.001
 
 
 def median_column(column: str, median: str) -> Column:
-    """Median aggregate of one column: ``exact`` (interpolated), ``disc`` (an actual value) or ``approx``."""
+    """Median aggregate of one column: ``exact`` (interpolated), ``disc`` (an actual value) or ``approx`` (the same from a
+    sketch, of fewer than ``APPROX_ACCURACY / 2`` values exactly)."""
     if median == "exact":
         return F.percentile(F.col(f"`{column}`"), F.lit(0.5))
     if median == "disc":
@@ -39,30 +38,6 @@ def median_column(column: str, median: str) -> Column:
     raise ValueError("median must be 'exact', 'disc' or 'approx'")
 
 
-def quantile_sketch(column: str) -> Column:
-    """Aggregate: the values at ``SKETCH_POINTS`` evenly spaced ranks, the last one the largest; mergeable."""
-    shares = F.array(*[F.lit((i + 1) / SKETCH_POINTS) for i in range(SKETCH_POINTS)])
-    return F.percentile_approx(F.col(f"`{column}`"), shares, APPROX_ACCURACY).cast("array<double>")
-
-
-def sketched_middles(sketch: Column, size: Column) -> tuple[Column, Column]:
-    """(median, MAD) of ``size`` values from their sketch, both actual values or distances of one (the lower middle).
-
-    Half as many ranks as the sketch has points are looked up in it: in a smaller group every rank, each in the middle of the
-    points that fall on it, so that nothing is lost.
-    """
-
-    def middles(points: Column) -> Column:
-        many = F.least(size, F.lit(SKETCH_POINTS // 2)).cast("int")
-        median = points[SKETCH_POINTS // 2 - 1]
-        ranks = F.transform(F.sequence(F.lit(1), many), lambda j: F.ceil((j - 0.5) / many * SKETCH_POINTS).cast("int"))
-        gaps = F.array_sort(F.transform(ranks, lambda i: F.abs(F.element_at(points, i) - median)))
-        return F.struct(median.alias("median"), F.element_at(gaps, F.ceil(many / 2).cast("int")).alias("mad"))
-
-    found = F.when(size > 0, let(sketch, middles))
-    return found["median"], found["mad"]
-
-
 def _bucket(x: Column, low: Column, high: Column) -> Column:
     step = F.floor(F.try_divide(x - low, high - low) * BUCKETS)
     inside = F.least(F.coalesce(step, F.lit(0)), F.lit(BUCKETS - 1)) + 1

@@ -74,6 +74,23 @@ def test_sketches_of_small_groups_are_exact(spark):
         assert found[n] == (median, lower_middle([abs(v - median) for v in values])), n
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_sketches_are_exact_below_ten_thousand_rows(spark, monkeypatch, broadcast):
+    """Groups of more than 500 rows, of more than a sketch of accuracy 10,000 ranks exactly, with medians that are broadcast or not."""
+    if not broadcast:
+        monkeypatch.setattr("gridstats.operators.aggregate.fits_broadcast", lambda df: False)
+    rng = np.random.default_rng(11)
+    groups = {n: np.round(rng.gamma(2.0, 3.0, n), 3).tolist() for n in (501, 625, 1000, 6900, 9999)}
+    rows = [(n, v) for n, values in groups.items() for v in [*values, None]] + [(1, None)]
+    df = spark.createDataFrame(rows, "k int, x double")
+    for parts in (1, 7):
+        found = {r["k"]: (r["x_median"], r["x_mad"]) for r in with_mad(df.repartition(parts), ["k"], ["x"], "approx").collect()}
+        assert found.pop(1) == (None, None)
+        for n, values in groups.items():
+            median = lower_middle(values)
+            assert found[n] == (median, lower_middle([abs(v - median) for v in values])), n
+
+
 def test_sketch_of_a_large_group_is_near(spark):
     values = np.random.default_rng(5).gamma(2.0, 3.0, 60_000)
     df = spark.createDataFrame([(1, float(v)) for v in values], "k int, x double").repartition(8)
