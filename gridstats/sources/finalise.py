@@ -1,7 +1,7 @@
 """Finish a dataset: one file per partition folder, with the GeoParquet footer.
 
-Spark writes the rows in balanced pieces; a file-level job then streams the pieces of each folder, row group
-by row group, into the final file and adds the ``geo`` footer in the same pass. Nothing is patched in place:
+Spark writes the rows in balanced pieces; a file-level job then streams the pieces of each folder, a few thousand
+rows at a time, into the final file and adds the ``geo`` footer in the same pass. Nothing is patched in place:
 results go to a new folder.
 """
 
@@ -35,6 +35,11 @@ COVERING = "bbox"
 COVERING_EXTRA = {"covering": {"bbox": {side: [COVERING, side] for side in ("xmin", "ymin", "xmax", "ymax")}}}
 # Rows of a row group in files that are ordered in space, so that a box meets few groups.
 SPATIAL_GROUP_ROWS = 50_000
+# Bytes of decoded rows that a row group is written from, and so what a task holds, whatever the row groups of its sources.
+GROUP_BYTES = 16 << 20
+# Rows decoded at once, and bytes of each column that are read ahead for them.
+DECODED_ROWS = 4096
+READ_AHEAD = 256 << 10
 # Footer members that describe how grid edges are to be read.
 GRID_EXTRA = {"orientation": "counterclockwise", "edges": "spherical"}
 
@@ -94,7 +99,7 @@ def _with_footers(
 
 def _open_parquet(handle) -> tuple[pq.ParquetFile, pa.Schema]:
     """File and the schema its rows get: INT96 instants become microseconds in UTC, which Spark reads back."""
-    file = pq.ParquetFile(handle, coerce_int96_timestamp_unit="us")
+    file = pq.ParquetFile(handle, coerce_int96_timestamp_unit="us", buffer_size=READ_AHEAD)
     schema = file.schema_arrow
     for i in range(len(file.schema)):
         column = file.schema.column(i)
@@ -104,11 +109,26 @@ def _open_parquet(handle) -> tuple[pq.ParquetFile, pa.Schema]:
     return file, schema
 
 
+def _pieces(file: pq.ParquetFile, group: int, group_rows: int | None) -> Iterator[pa.Table]:
+    """A row group in pieces of at most ``group_rows`` rows and ``GROUP_BYTES``, or one decoded batch if that has more."""
+    held, rows, size = [], 0, 0
+    for batch in file.iter_batches(min(DECODED_ROWS, group_rows or DECODED_ROWS), [group], use_threads=False):
+        full = size + batch.nbytes > GROUP_BYTES or (group_rows and rows + batch.num_rows > group_rows)
+        if held and full:
+            yield pa.Table.from_batches(held)
+            held, rows, size = [], 0, 0
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _merge_task(batches: Iterator[pd.DataFrame], group_rows: int | None = None) -> Iterator[pd.DataFrame]:
-    """Stream the sources of each target into it, one row group at a time.
+    """Stream the sources of each target into it, in pieces of their row groups.
 
     A target has the columns of all its sources, in the order they first occur, each with the type it has there; a source
-    without a column gives NULL. Row groups have at most ``group_rows`` rows, else those of the sources.
+    without a column gives NULL. Row groups have at most ``group_rows`` rows, else those of the sources; larger ones than
+    ``GROUP_BYTES`` are split.
     """
     for batch in batches:
         rows = []
@@ -134,18 +154,20 @@ def _merge_task(batches: Iterator[pd.DataFrame], group_rows: int | None = None)
                         if writer is None:
                             writer = pq.ParquetWriter(sink, schema, compression="snappy")
                         for group in range(file.num_row_groups):
-                            table = file.read_row_group(group)
-                            if not table.schema.equals(schema, check_metadata=False):
-                                for field in schema:
-                                    if field.name not in table.schema.names:
-                                        table = table.append_column(field, pa.nulls(table.num_rows, field.type))
-                                table = table.select(schema.names).cast(schema)
-                            writer.write_table(table.replace_schema_metadata(schema.metadata), row_group_size=group_rows)
-                            count += table.num_rows
+                            for table in _pieces(file, group, group_rows):
+                                if not table.schema.equals(schema, check_metadata=False):
+                                    for field in schema:
+                                        if field.name not in table.schema.names:
+                                            table = table.append_column(field, pa.nulls(table.num_rows, field.type))
+                                    table = table.select(schema.names).cast(schema)
+                                writer.write_table(table.replace_schema_metadata(schema.metadata))
+                                count += table.num_rows
                 writer.close()
 
             write_whole(target, fill)
             rows.append((target, len(sources), count))
+            # idle workers stay beside the tasks that follow
+            pa.default_memory_pool().release_unused()
         yield pd.DataFrame(rows, columns=["target", "sources", "rows"])
 
 
@@ -196,7 +218,7 @@ def consolidate_files(
 ) -> DataFrame:
     """Rewrite an existing dataset to one file per folder with the ``geo`` footer. Files keep their own columns.
 
-    Row groups stay as they are, or have at most ``group_rows`` rows.
+    Row groups stay as they are, or have at most ``group_rows`` rows; those of more than ``GROUP_BYTES`` are split.
     """
     base = qualified(spark, guard_target(target))
     files = require_files(parquet_inventory(spark, source), source)

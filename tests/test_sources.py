@@ -3,7 +3,9 @@ import os
 import struct
 from datetime import date, datetime
 
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -172,6 +174,33 @@ def test_unpartitioned_and_split_files(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "many")).count() == 60
 
 
+@pytest.mark.parametrize("group_rows", [None])
+def test_a_merge_holds_a_bounded_part_of_a_row_group(tmp_path, group_rows):
+    """Whatever the size of the source's row groups, all rows arrive in order and a task holds a fixed number of bytes."""
+    stored = {n: str(tmp_path / f"{n}.parquet") for n in (600_000, 1_800_000)}
+    for n, source in stored.items():
+        rows = pa.array(range(n))
+        place = pa.array([b"%021d" % i for i in range(n)])
+        pq.write_table(pa.table({"rowid": rows, "geometry": place, "v": pc.multiply(rows, 1.5), "w": pc.sqrt(rows)}), source, row_group_size=n)
+    most = {}
+    before = pa.default_memory_pool()
+    for n, source in stored.items():
+        target, pool = str(tmp_path / f"out{n}.parquet"), pa.proxy_memory_pool(before)
+        pa.set_memory_pool(pool)
+        try:
+            jobs = pd.DataFrame({"target": [target], "sources": [[source]], "geo": ["{}"]})
+            (done,) = finalise._merge_task(iter([jobs]), group_rows)
+        finally:
+            pa.set_memory_pool(before)
+        assert done["rows"].tolist() == [n]
+        assert pq.read_table(target).replace_schema_metadata().equals(pq.read_table(source))
+        meta = pq.read_metadata(target)
+        sizes = [meta.row_group(g).num_rows for g in range(meta.num_row_groups)]
+        assert max(sizes) * 49 <= finalise.GROUP_BYTES and max(sizes) <= (group_rows or n)
+        most[n] = pool.max_memory()
+    assert max(most.values()) < 3 * finalise.GROUP_BYTES and most[1_800_000] < 1.2 * most[600_000], most
+
+
 def test_instants_written_as_int96_survive(spark, tmp_path):
     before = spark.conf.get("spark.sql.parquet.outputTimestampType")
     try:
