@@ -174,7 +174,7 @@ def test_unpartitioned_and_split_files(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "many")).count() == 60
 
 
-@pytest.mark.parametrize("group_rows", [None])
+@pytest.mark.parametrize("group_rows", [None, 50_000])
 def test_a_merge_holds_a_bounded_part_of_a_row_group(tmp_path, group_rows):
     """Whatever the size of the source's row groups, all rows arrive in order and a task holds a fixed number of bytes."""
     stored = {n: str(tmp_path / f"{n}.parquet") for n in (600_000, 1_800_000)}
